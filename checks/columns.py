@@ -70,8 +70,8 @@ _CASES = {
     ),
     "to_date": (
         _over("orders", ("o_orderkey",), _DATE_TEXT, coerce.to_date, "value"),
-        "case when length(x) = 8 and x not like '%-%'"
-        " then cast(try_strptime(x, '%Y%m%d') as date)"
+        "case when length(x) >= 8 and x not like '%-%'"
+        " then cast(try_strptime(substr(x, 1, 8), '%Y%m%d') as date)"
         " when substr(x, 5, 1) = '-' and length(x) >= 10 then try_cast(substr(x, 1, 10) as date) end",
     ),
     "to_ts": (

@@ -710,8 +710,15 @@ DOCUMENTS = {
 }
 
 
+def _spread(documents: DataFrame) -> DataFrame:
+    """Over all cores, as reading archives does; a small benchmark file is one partition."""
+    cores = documents.sparkSession.sparkContext.defaultParallelism
+    few = len(documents.inputFiles()) < cores
+    return documents.repartition(cores) if few else documents
+
+
 def ingest(table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = DOCUMENTS[table](spark, sf_dir)
+    documents = _spread(DOCUMENTS[table](spark, sf_dir))
     if table in FEEDS["deputies"]:
         return INGEST[table](documents, _RUN)
     return INGEST[table](documents)

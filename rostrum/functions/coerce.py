@@ -18,12 +18,15 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
+# The separators among them do not count around a number.
+_NUMBER_MARGIN = WHITESPACE.translate({c: None for c in range(0x1C, 0x20)})
+
 _ISO_DAY = r"^\d{4}-\d{2}-\d{2}\z"
-_COMPACT_DAY = r"^\d{8}\z"
-_WEEK_DAY = r"^(\d{4})(?:-W(\d{2})(?:-([1-7]))?|W(\d{2})([1-7])?)\z"
+_COMPACT_DAY = r"(?s)^\d{8}(?:..)?\z"
+_WEEK_DAY = r"(?s)^\d{4}(?:-W\d{2}(?:-[1-7])?|W\d{2}(?:[1-7](?:..)?)?)\z"
 _LOOSE_DAY = r"^\d{4}-\d{1,2}-\d{1,2}\z"
 _ZONE = r"(?:[+-]\d{2}(?::?\d{2}){0,2})?"
-_ISO_INSTANT = rf"^\d{{4}}-\d{{2}}-\d{{2}}(?:(?s:.)\d{{2}}(?::\d{{2}}(?::\d{{2}}(?:[.,]\d+)?)?)?{_ZONE})?\z"
+_ISO_INSTANT = rf"^\d{{4}}-\d{{2}}-\d{{2}}(?s:.)\d{{2}}:\d{{2}}:\d{{2}}(?:[.,]\d+)?{_ZONE}\z"
 _MIXED_INSTANT = (
     r"^(\d{4})(-?)(\d{2})\2(\d{2})"
     rf"(?:(?s:.)(\d{{2}})(?:(:?)(\d{{2}})(?:\6(\d{{2}})([.,]\d+)?)?)?({_ZONE}))?\z"
@@ -44,11 +47,9 @@ def _dashed(day: Column) -> Column:
 
 
 def _week_date(day: Column) -> Column:
-    def part(*groups: int) -> Column:
-        found = [F.nullif(F.regexp_extract(day, _WEEK_DAY, g), F.lit("")) for g in groups]
-        return F.coalesce(*found).cast("int")
-
-    year, week, weekday = part(1), part(2, 4), F.coalesce(part(3, 5), F.lit(1))
+    digits = F.translate(day, "-W", "")
+    year, week = digits.substr(1, 4).cast("int"), digits.substr(5, 2).cast("int")
+    weekday = F.coalesce(digits.substr(7, 1).try_cast("int"), F.lit(1))
     first_monday = F.trunc(F.make_date(year, F.lit(1), F.lit(4)), "week")
     monday = F.date_add(first_monday, (week - 1) * 7)
     exists = (week >= 1) & (F.year(F.date_add(monday, 3)) == year)
@@ -56,7 +57,10 @@ def _week_date(day: Column) -> Column:
 
 
 def to_date(text: Column) -> Column:
-    """Date from the first ten characters: ``2024-07-01``, ``20240701`` or ``2024-W27-1``."""
+    """Date from the first ten characters: ``2024-07-01``, ``20240701`` or ``2024-W27-1``.
+
+    The forms without dashes may go on, so ``20240701150000000`` is a date too.
+    """
     day = text.substr(1, 10)
     return (
         F.when(day.startswith("0000"), F.lit(None).cast("date"))
@@ -95,11 +99,9 @@ def to_ts(text: Column) -> Column:
 
 def to_int(text: Column) -> Column:
     """Whole number, ``_`` allowed between digits; anything else is NULL."""
-    trimmed = strip(text)
-    grouped = F.when(
-        trimmed.rlike(r"^[+-]?\d+(?:_\d+)+\z"), F.replace(trimmed, F.lit("_"), F.lit(""))
-    )
-    return F.when(trimmed.contains("_"), grouped).otherwise(trimmed).try_cast("bigint")
+    trimmed = F.btrim(text, F.lit(_NUMBER_MARGIN))
+    digits = F.when(trimmed.rlike(r"^[+-]?\d+(?:_\d+)*\z"), F.replace(trimmed, F.lit("_"), F.lit("")))
+    return digits.try_cast("bigint")
 
 
 def to_bool(text: Column) -> Column:

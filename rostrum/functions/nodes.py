@@ -6,6 +6,8 @@ JSON text; these functions then read that text.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +15,14 @@ from pyspark.sql import types as T
 from rostrum.functions.coerce import to_str
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` refers to it.
+
+    Parsing a node is dear and Spark would repeat it at every mention.
+    """
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def fields(*names: str | tuple[str, T.DataType]) -> T.StructType:
     """Struct of text fields; a pair gives a field another type."""
     pairs = [(n, T.StringType()) if isinstance(n, str) else n for n in names]
@@ -45,27 +55,34 @@ def organe_refs(node: Column) -> Column:
     No node or no reference gives an empty array, one string gives one element,
     a list is taken as it is. Anything else is an error in the feed.
     """
-    refs = F.try_variant_get(F.try_parse_json(node), "$.organeRef", "variant")
-    kind = F.schema_of_variant(refs)
-    return (
-        F.when(kind.isNull(), F.array().cast("array<string>"))
-        .when(kind == "STRING", F.array(F.try_variant_get(refs, "$", "string")))
-        .when(kind.startswith("ARRAY"), F.try_variant_get(refs, "$", "array<string>"))
-        .otherwise(
-            F.raise_error(F.concat(F.lit("organeRef must be text or a list, got "), kind)).cast(
-                "array<string>"
-            )
-        )
+    none = F.array().cast("array<string>")
+    other = F.raise_error(F.concat(F.lit("organeRef must be text or a list in "), node))
+    parsed = F.from_json(node, fields("organeRef")).organeRef
+    refs = bind(
+        parsed,
+        lambda r: F.when(r.isNull(), none)
+        .when(r.startswith("["), F.from_json(r, "array<string>"))
+        .otherwise(F.array(r)),
     )
+    unfit = node.rlike(r'"organeRef"\s*:\s*[^"\[\s]')
+    return F.when(unfit, other.cast("array<string>")).otherwise(F.coalesce(refs, none))
 
 
 def voters(container: Column, schema: T.StructType) -> Column:
-    """Voters of a container: ``{votant: one or many}``, a bare list, or one voter."""
+    """Voters of a container: ``{votant: one or many}``, a bare list, or one voter.
+
+    An empty object holds no voter.
+    """
     keyed = F.from_json(container, "map<string,string>")
-    listed = F.when(
-        F.map_contains_key(keyed, "votant"), objects(keyed["votant"], schema)
-    ).otherwise(objects(container, schema))
-    return F.when((F.size(keyed) > 0) | container.startswith("["), listed)
+    node = F.when(container.startswith("["), container).otherwise(
+        bind(
+            keyed,
+            lambda k: F.when(F.map_contains_key(k, "votant"), k["votant"]).when(
+                F.size(k) > 0, container
+            ),
+        )
+    )
+    return bind(node, lambda n: objects(n, schema))
 
 
 def text_or_uid(text: Column) -> Column:

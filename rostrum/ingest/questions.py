@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rostrum.functions.coerce import to_date, to_str
-from rostrum.functions.nodes import fields, first_object, objects
+from rostrum.functions.nodes import bind, fields, first_object, objects
 from rostrum.ingest.parsing import parse_documents
 from rostrum.schemas import shape
 
@@ -34,22 +34,42 @@ def _first(node: Column, *names: str) -> Column:
 
 def _text_of(node: Column, inner: str) -> Column:
     wrapped = _first(_first(node, inner)[inner], "texte", "infoJO")
-    return F.struct(
-        wrapped.texte.alias("texte"), _first(wrapped.infoJO, "dateJO", "pageJO").alias("jo")
+    return bind(
+        wrapped,
+        lambda w: F.struct(
+            w.texte.alias("texte"), _first(w.infoJO, "dateJO", "pageJO").alias("jo")
+        ),
+    )
+
+
+def _author(node: Column) -> Column:
+    return bind(
+        _first(node, "identite", "groupe"),
+        lambda a: F.struct(
+            _first(a.identite, "acteurRef", "mandatRef").alias("person"),
+            _first(a.groupe, "organeRef", "abrege", "developpe").alias("group"),
+        ),
+    )
+
+
+def _index(node: Column) -> Column:
+    return bind(
+        _first(node, "rubrique", "teteAnalyse", "analyses"),
+        lambda x: F.struct(
+            x.rubrique.alias("rubrique"),
+            x.teteAnalyse.alias("teteAnalyse"),
+            _first(x.analyses, "analyse").analyse.alias("analyse"),
+        ),
     )
 
 
 def questions_ecrites(questions: DataFrame) -> DataFrame:
     q = F.col("doc")
-    author = _first(q.auteur, "identite", "groupe")
-    index = _first(q.indexationAN, "rubrique", "teteAnalyse", "analyses")
     nodes = F.struct(
         q.type.alias("type"),
         _first(q.identifiant, "numero", "regime", "legislature").alias("id"),
-        index.alias("index"),
-        _first(index.analyses, "analyse").alias("analyses"),
-        _first(author.identite, "acteurRef", "mandatRef").alias("person"),
-        _first(author.groupe, "organeRef", "abrege", "developpe").alias("group"),
+        _index(q.indexationAN).alias("index"),
+        _author(q.auteur).alias("author"),
         _first(q.minInt, "organeRef", "abrege", "developpe").alias("ministry"),
         _text_of(q.textesQuestion, "texteQuestion").alias("question"),
         _text_of(q.textesReponse, "texteReponse").alias("answer"),
@@ -66,12 +86,12 @@ def questions_ecrites(questions: DataFrame) -> DataFrame:
         type=to_str(n.type),
         rubrique=to_str(n.index.rubrique),
         tete_analyse=to_str(n.index.teteAnalyse),
-        analyse=to_str(n.analyses.analyse),
-        auteur_acteur_ref=to_str(n.person.acteurRef),
-        auteur_mandat_ref=to_str(n.person.mandatRef),
-        auteur_groupe_organe_ref=to_str(n.group.organeRef),
-        auteur_groupe_abrege=to_str(n.group.abrege),
-        auteur_groupe_developpe=to_str(n.group.developpe),
+        analyse=to_str(n.index.analyse),
+        auteur_acteur_ref=to_str(n.author.person.acteurRef),
+        auteur_mandat_ref=to_str(n.author.person.mandatRef),
+        auteur_groupe_organe_ref=to_str(n.author.group.organeRef),
+        auteur_groupe_abrege=to_str(n.author.group.abrege),
+        auteur_groupe_developpe=to_str(n.author.group.developpe),
         min_int_organe_ref=to_str(n.ministry.organeRef),
         min_int_abrege=to_str(n.ministry.abrege),
         min_int_developpe=to_str(n.ministry.developpe),
