@@ -26,6 +26,8 @@ _RANGE = (
     " members array<struct<entry:string,offset:bigint,size:bigint,method:int,crc:bigint>>"
 )
 _BATCH_CHARS = 16 * MIB
+# Beyond this many ranges a task reads several of them.
+_MOST_TASKS = 20_000
 # Fixed values of the zip format: the local header is 30 bytes and the lengths
 # of the name and the extra field that follow it stand at byte 26.
 _HEADER_BYTES = 30
@@ -187,7 +189,7 @@ def read_archives(
     ranges = (
         long_files.select("path")
         .mapInArrow(_list_ranges(range_bytes), _RANGE)
-        .repartition(-(-total // range_bytes))
+        .repartition(min(-(-total // range_bytes), _MOST_TASKS))
     )
     return documents.unionByName(ranges.mapInArrow(_read_ranges, _DOCUMENT))
 

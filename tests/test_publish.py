@@ -1,0 +1,124 @@
+"""Staged publication: all or nothing before the first table is replaced."""
+
+from __future__ import annotations
+
+from pathlib import Path
+from uuid import uuid4
+
+import pytest
+from pyspark.sql import functions as F
+
+from rostrum.operators import browse, quality
+from rostrum.operators.quality import ValidationError
+from rostrum.sinks.publish import publish_tables
+
+
+@pytest.fixture
+def target(spark, tmp_path):
+    database = f"t_{uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{tmp_path}/db'")
+    return {"root": str(tmp_path / "data"), "database": database}
+
+
+def signers(spark, *rows):
+    return spark.createDataFrame(
+        rows,
+        "amendement_uid string, acteur_ref string, type_auteur string,"
+        " groupe_politique_ref string, ordre_presentation long",
+    )
+
+
+def cosigners(spark, *rows):
+    return spark.createDataFrame(
+        rows,
+        "amendement_uid string, cosignataire_acteur_ref string, ordre_presentation long",
+    )
+
+
+def load(spark, target, first, second):
+    tables = {
+        "amendement_signataires": signers(spark, *first),
+        "amendement_cosignataires": cosigners(spark, *second),
+    }
+    return publish_tables(spark, tables, **target)
+
+
+def rows(spark, target, table):
+    return sorted(tuple(r) for r in spark.table(f"{target['database']}.{table}").collect())
+
+
+def folders(target):
+    return {p.name: len(list(p.iterdir())) for p in Path(target["root"]).iterdir()}
+
+
+A, B = ("AM1", "PA1", "x", None, 0), ("AM2", "PA2", None, "PO1", 0)
+C, D = ("AM1", "PA3", 1), ("AM1", "PA4", 3)
+
+
+def test_loads_replace_each_other(spark, target):
+    counts = load(spark, target, [A], [C, D])
+    assert counts == {"amendement_signataires": 1, "amendement_cosignataires": 2}
+    for _ in range(3):
+        counts = load(spark, target, [A, B], [])
+    assert counts == {"amendement_signataires": 2, "amendement_cosignataires": 0}
+    assert rows(spark, target, "amendement_signataires") == [A, B]
+    assert rows(spark, target, "amendement_cosignataires") == []
+    # The load in use and the one before it stay.
+    assert set(folders(target).values()) == {2}
+
+
+@pytest.mark.parametrize("bad", [("AM1", None, 1), ("", "PA1", 1)])
+def test_a_missing_required_value_leaves_all_tables_as_they_were(spark, target, bad):
+    load(spark, target, [A], [C])
+    with pytest.raises(ValidationError, match="amendement_cosignataires: 1 rows miss required"):
+        load(spark, target, [B], [D, bad])
+    assert rows(spark, target, "amendement_signataires") == [A]
+    assert rows(spark, target, "amendement_cosignataires") == [C]
+    assert set(folders(target).values()) == {1}
+
+
+def test_a_failing_job_leaves_nothing_behind(spark, target):
+    broken = cosigners(spark, C).withColumn(
+        "cosignataire_acteur_ref", F.raise_error(F.lit("broken")).cast("string")
+    )
+    with pytest.raises(Exception, match="broken"):
+        publish_tables(
+            spark,
+            {"amendement_signataires": signers(spark, A), "amendement_cosignataires": broken},
+            **target,
+        )
+    assert browse.list_tables(spark, target["database"]) == []
+    assert set(folders(target).values()) == {0}
+
+
+def test_a_changed_schema_replaces_the_table(spark, target):
+    publish_tables(spark, {"t": spark.sql("select 1 as a")}, **target)
+    publish_tables(spark, {"t": spark.sql("select 'x' as a, 2 as b")}, **target)
+    assert rows(spark, target, "t") == [("x", 2)]
+
+
+def test_browse(spark, target):
+    publish_tables(spark, {"t": spark.range(30).toDF("a"), "s": spark.range(3)}, **target)
+    db = target["database"]
+    spark.sql(f"CREATE VIEW {db}.v AS SELECT * FROM {db}.t")
+    spark.range(1).createOrReplaceTempView("temporary_one")
+    assert browse.list_tables(spark, db) == ["s", "t"]
+    assert browse.count_rows(spark.table(f"{db}.t")).first()[0] == 30
+    assert browse.preview(spark.table(f"{db}.t")).count() == 20
+    assert browse.preview(spark.table(f"{db}.t"), 7).count() == 7
+
+
+def test_sources_must_be_there(spark, target):
+    names = [t for t in quality.REQUIRED_SOURCES if t not in ("scrutins", "acteurs")]
+    publish_tables(spark, {n: spark.range(1) for n in names}, **target)
+    assert quality.missing_sources(spark, target["database"]) == ["acteurs", "scrutins"]
+    with pytest.raises(ValidationError, match="acteurs, scrutins"):
+        quality.require_sources(spark, target["database"])
+
+
+def test_required_columns(spark):
+    quality.require_columns(cosigners(spark, C, D), "amendement_cosignataires")
+    quality.require_columns(cosigners(spark), "amendement_cosignataires")
+    with pytest.raises(ValidationError, match="2 rows miss required field 'amendement_uid'"):
+        bad = cosigners(spark, C, (None, "PA1", 1), ("", "PA1", 2))
+        quality.require_columns(bad, "amendement_cosignataires")
