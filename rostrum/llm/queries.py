@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import uuid
-from functools import partial
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from rostrum.llm import common, packing
 from rostrum.llm.exact_dedup import DigestIndex
+from rostrum.llm.licences import scan_licences
+from rostrum.llm.secrets import scan_secrets
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,4 +24,17 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op5_exact_dedup": op5_exact_dedup, "op10_pack": op10_pack}
+def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licences(common.documents(spark, sf_dir))
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(common.documents(spark, sf_dir))
+
+
+QUERIES = {
+    "op2_licences": op2_licences,
+    "op5_exact_dedup": op5_exact_dedup,
+    "op7_secrets": op7_secrets,
+    "op10_pack": op10_pack,
+}

@@ -1,0 +1,113 @@
+"""Licence and secret scans against plain readings of their contracts."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+from collections import Counter
+
+import pytest
+
+from rostrum.llm import licences, secrets
+from tests.llm import tricky
+
+WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+
+
+def lower(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+
+def plain_licences(text):
+    words = WORD.findall(lower(text or ""))
+    found = []
+    for phrase, label in licences.BASE.items():
+        parts = phrase.split()
+        found += [(i, label) for i in range(len(words)) if words[i : i + len(parts)] == parts]
+    at = [i for i, _ in found]
+    return (len(words), len(found), min(at, default=None), max(at, default=None), ",".join(sorted({x for _, x in found})))
+
+
+def plain_base(text):
+    text = text or ""
+    kinds = {
+        "assign": (r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+        "access": (r"AKIA[A-Z0-9]+", 0, 20),
+        "hex": (r"[0-9a-f]+", 0, 24),
+    }
+    spans = []
+    for order, (kind, (pattern, group, least)) in enumerate(kinds.items()):
+        for match in re.finditer(pattern, text, re.ASCII):
+            if len(match[group]) >= least:
+                spans.append((match.start(), order, kind, match.end()))
+    spans.sort()
+    counts = Counter(kind for _, _, kind, _ in spans)
+    written = ",".join(f"{kind}:{start}:{end}" for start, _, kind, end in spans)
+    return (*(counts[k] for k in kinds), hashlib.sha256(written.encode()).hexdigest(), written)
+
+
+def test_licence_places(spark):
+    found = tricky.by_id(
+        licences.scan_licences(tricky.documents(spark)),
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels",
+    )
+    assert found == sorted(((i, *plain_licences(t)) for i, t, *_ in tricky.rows()), key=repr)
+
+
+def test_licence_labels_hold_the_expressions(spark):
+    found = {r.doc_id: r for r in licences.scan_licences(tricky.documents(spark)).collect()}
+    assert found[10].labels == "bsd-3-clause,gpl-2.0-only,mit"
+    assert found[10].score == 0.95
+    assert found[11].labels == "mit"  # the open parenthesis is left unread
+    assert found[9].labels == "cc-by,cc-by-nc,gpl,mit"
+    assert found[2].score == found[3].score == 0.0 and found[3].labels == ""
+
+
+@pytest.mark.parametrize(
+    ("line", "order", "grant"),
+    [
+        ("mit or apache-2.0 and gpl-3.0", ["mit", "apache-2.0", "gpl-3.0", "and", "or"], 0.95),
+        ("(mit or apache-2.0) and gpl-3.0", ["mit", "apache-2.0", "or", "gpl-3.0", "and"], 0.3),
+        ("gpl-2.0 with x and mit", ["gpl-2.0", "x", "with", "mit", "and"], 0.5),
+        ("mit and", ["mit"], 0.95),
+    ],
+)
+def test_expressions(line, order, grant):
+    assert licences.postfix(licences.expression_tokens(line)) == order
+    assert licences.evaluate(order)[0] == pytest.approx(grant)
+
+
+def test_secret_base(spark):
+    found = tricky.by_id(
+        secrets.scan_secrets(tricky.documents(spark)), "doc_id", "n_assign", "n_access", "n_hex", "base_sha256"
+    )
+    assert found == sorted(((i, *plain_base(t)[:4]) for i, t, *_ in tricky.rows()), key=repr)
+
+
+def test_secret_spans_keep_the_base_and_find_random_strings(spark):
+    found = {r.doc_id: r.spans for r in secrets.scan_secrets(tricky.documents(spark)).collect()}
+    for doc_id, text, *_ in tricky.rows():
+        base = [x for x in plain_base(text)[4].split(",") if x]
+        assert [x for x in found[doc_id].split(",") if x and not x.startswith("entropy")] == base
+    text = tricky.TEXTS[16]
+    start = text.index("zQ8v")
+    assert found[16] == f"entropy:{start}:{start + 24}"  # neither the dashed identifier nor the filler
+
+
+def test_window_entropy_is_that_of_the_counts(spark):
+    def most(text, n=secrets.WINDOW):
+        def bits(piece):
+            return -sum(c / n * math.log2(c / n) for c in Counter(piece).values())
+
+        return max(bits(text[i : i + n]) for i in range(len(text) - n + 1))
+
+    strings = ["a" * 20, "abcdefghijklmnopqrst", "aabbccddeeffgghhiijjkkllmmnnoo", "x1y2z3" * 9 + "QWERTYUIOPAS"]
+    frame = spark.createDataFrame([(s,) for s in strings], "s string")
+    for s, found in frame.select("s", secrets.best_window_bits(frame["s"])).collect():
+        assert found == pytest.approx(most(s))
+
+
+@pytest.mark.parametrize("scan", [licences.scan_licences, secrets.scan_secrets])
+def test_no_documents(spark, scan):
+    assert scan(tricky.empty(spark)).count() == 0
