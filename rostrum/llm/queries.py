@@ -11,6 +11,7 @@ from rostrum.llm import common, packing
 from rostrum.llm.exact_dedup import DigestIndex
 from rostrum.llm.licences import scan_licences
 from rostrum.llm.secrets import scan_secrets
+from rostrum.llm.toxicity import score_toxicity
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,8 +33,14 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(common.documents(spark, sf_dir))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return score_toxicity(common.documents(spark, sf_dir), labels)
+
+
 QUERIES = {
     "op2_licences": op2_licences,
+    "op4_toxicity": op4_toxicity,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_secrets": op7_secrets,
     "op10_pack": op10_pack,
