@@ -11,6 +11,7 @@ A document's score comes from the marginals of its tokens.
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 import zlib
@@ -128,24 +129,46 @@ def summary(marginals: np.ndarray) -> tuple[float, float]:
 
 
 def toxic_terms(docs: list[list[bytes]], labels: list[int]) -> set[bytes]:
-    """Words and beginnings of words that mark toxic documents."""
-    found = (Counter(), Counter())
-    for words, label in zip(docs, labels, strict=True):
-        terms = set()
-        for word in set(words):
-            terms.add(word)
-            terms.update(b"^" + word[:n] for n in BEGINNINGS if len(word) >= n)
-        found[label].update(terms)
+    """Words and beginnings of words that mark toxic documents.
+
+    Chosen one by one, by what they explain of the toxic documents that no term
+    explains yet; so words that merely stand beside toxic ones, or in copies of
+    one toxic document, are not taken.
+    """
+    places: dict[bytes, list[int]] = {}
+    clean_count: Counter = Counter()
+    for i, (words, label) in enumerate(zip(docs, labels, strict=True)):
+        distinct = set(words)
+        terms = distinct.union(b"^" + w[:n] for w in distinct for n in BEGINNINGS if len(w) >= n)
+        if label:
+            for term in terms:
+                places.setdefault(term, []).append(i)
+        else:
+            clean_count.update(terms)
     toxic, clean = labels.count(1), labels.count(0)
-    chosen = set()
-    for term, a in found[1].items():
-        b = found[0][term]
+
+    def evidence(term: bytes, a: int) -> float:
+        b = clean_count[term]
         if a / toxic < TIMES * (b + 0.1) / (clean + 1):
-            continue
+            return 0.0
         share = (a + b) / (toxic + clean)
         cells = ((a, toxic * share), (b, clean * share), (toxic - a, toxic * (1 - share)), (clean - b, clean * (1 - share)))
-        if 2 * sum(o * math.log(o / e) for o, e in cells if o > 0 and e > 0) >= EVIDENCE:
-            chosen.add(term)
+        return 2 * sum(o * math.log(o / e) for o, e in cells if o > 0 and e > 0)
+
+    heap = [(-evidence(term, len(at)), term) for term, at in places.items()]
+    heap = [x for x in heap if -x[0] >= EVIDENCE]
+    heapq.heapify(heap)
+    chosen, explained = set(), set()
+    while heap:
+        found, term = heapq.heappop(heap)
+        now = -evidence(term, sum(i not in explained for i in places[term]))
+        if now > -EVIDENCE:
+            continue
+        if now > found:  # it has lost documents since; others may come first
+            heapq.heappush(heap, (now, term))
+            continue
+        chosen.add(term)
+        explained.update(places[term])
     return chosen
 
 
