@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rostrum.llm import common, packing
 from rostrum.llm.exact_dedup import DigestIndex
+from rostrum.llm.jaccard_join import near_duplicates
 from rostrum.llm.licences import scan_licences
 from rostrum.llm.secrets import scan_secrets
 from rostrum.llm.toxicity import score_toxicity
@@ -38,10 +39,15 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(common.documents(spark, sf_dir), labels)
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(common.documents(spark, sf_dir), words=4, percent=85)
+
+
 QUERIES = {
     "op2_licences": op2_licences,
     "op4_toxicity": op4_toxicity,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_secrets": op7_secrets,
     "op10_pack": op10_pack,
 }

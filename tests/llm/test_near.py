@@ -1,0 +1,112 @@
+"""The n-gram Jaccard join against all pairs."""
+
+from __future__ import annotations
+
+import random
+from itertools import combinations
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from rostrum.llm import jaccard_join as join
+from rostrum.llm.components import components
+from tests.llm import tricky
+
+
+def plain_set(text, words):
+    found = (text or "").encode().lower().split()
+    if not found:
+        return set()
+    return {tuple(found[i : i + words]) for i in range(max(1, len(found) - words + 1))}
+
+
+def plain_components(rows, words, percent):
+    sets = {}
+    for doc_id, text in rows:
+        if doc_id is not None:
+            sets.setdefault(doc_id, []).append(plain_set(text, words))
+    root = {d: d for d in sets}
+
+    def top(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    for a, b in combinations(sets, 2):
+        for x in sets[a]:
+            for y in sets[b]:
+                if x and y and 100 * len(x & y) >= percent * len(x | y):
+                    low, high = sorted((top(a), top(b)))
+                    root[high] = low
+    return {d: top(d) for d in sets}
+
+
+def check(spark, frame, rows, words, percent):
+    part = plain_components(rows, words, percent)
+    expected = sorted(((d, len(plain_set(t, words)), part.get(d)) for d, t in rows), key=repr)
+    found = tricky.by_id(join.near_duplicates(frame, words, percent), "doc_id", "n_shingles", "component_id")
+    assert found == expected
+
+
+def test_tricky_rows(spark):
+    rows = [(i, t) for i, t, *_ in tricky.rows()]
+    check(spark, tricky.documents(spark), rows, 4, 85)
+
+
+@pytest.mark.parametrize(("words", "percent"), [(4, 85), (5, 80)])
+def test_edited_copies_of_all_sizes(spark, words, percent):
+    draw = random.Random(percent)
+    rows = []
+    for family in range(40):
+        base = [f"w{draw.randrange(3000)}" for _ in range(draw.choice([1, 3, 5, 8, 12, 20, 40, 80, 160, 320]))]
+        for copy in range(draw.randrange(1, 9)):
+            text = list(base)
+            for _ in range(draw.randrange(0, 1 + len(base) // 25 + copy // 3)):
+                text[draw.randrange(len(text))] = f"e{draw.randrange(9)}"
+            rows.append((len(rows), (" \n" if copy % 2 else " ").join(text).upper() if copy % 3 else " ".join(text)))
+    draw.shuffle(rows)
+    check(spark, spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4), rows, words, percent)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(1, 160), st.integers(0, 30), st.integers(0, 30), st.integers(0, 10**6), st.sampled_from([70, 80, 85, 90]))
+def test_similar_sets_always_meet(size, fewer, more, seed, percent):
+    draw = np.random.default_rng(seed)
+    a = np.unique(draw.integers(0, 2**63, size, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
+    b = np.unique(np.concatenate([a[min(fewer, len(a) - 1) :], draw.integers(0, 2**63, more, dtype=np.uint64)]))
+    if join.similar(a, b, percent):
+        of_set, key, probe = join.index_entries([a, b], percent)
+        rows = [{k: p for s, k, p in zip(of_set, key, probe) if s == i} for i in (0, 1)]
+        assert any(rows[0][k] or rows[1][k] for k in rows[0].keys() & rows[1].keys())
+
+
+def test_components(spark):
+    draw = random.Random(3)
+    links = [(i, i + 1) for i in range(60)] + [(draw.randrange(100, 300), draw.randrange(100, 300)) for _ in range(90)]
+    root = {n: n for link in links for n in link}
+
+    def top(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in links:
+        low, high = sorted((top(a), top(b)))
+        root[high] = low
+    found = {r.node: r.root for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
+    assert found == {n: top(n) for n in root if any(n in x and x[0] != x[1] for x in links)}
+
+
+def test_no_documents(spark):
+    assert join.near_duplicates(tricky.empty(spark)).count() == 0
+    assert join.one_of_each(tricky.empty(spark)).count() == 0
+
+
+def test_one_of_each_keeps_all_columns(spark):
+    docs = tricky.documents(spark)
+    found = join.one_of_each(docs)
+    assert found.columns == docs.columns
+    kept = {r.doc_id for r in found.collect()}
+    assert None in kept and 12 in kept and 13 not in kept and 14 not in kept and 18 not in kept
