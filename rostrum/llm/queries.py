@@ -12,6 +12,7 @@ from rostrum.llm.exact_dedup import DigestIndex
 from rostrum.llm.jaccard_join import near_duplicates
 from rostrum.llm.licences import scan_licences
 from rostrum.llm.secrets import scan_secrets
+from rostrum.llm.suffix_dedup import remove_repeats
 from rostrum.llm.toxicity import score_toxicity
 
 
@@ -43,11 +44,16 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(common.documents(spark, sf_dir), words=4, percent=85)
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(common.documents(spark, sf_dir))
+
+
 QUERIES = {
     "op2_licences": op2_licences,
     "op4_toxicity": op4_toxicity,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_secrets": op7_secrets,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op10_pack": op10_pack,
 }
