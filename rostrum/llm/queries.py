@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rostrum.llm import common, packing
 from rostrum.llm.exact_dedup import DigestIndex
+from rostrum.llm.hidden_markov import score_documents
 from rostrum.llm.jaccard_join import near_duplicates
 from rostrum.llm.licences import scan_licences
 from rostrum.llm.secrets import scan_secrets
@@ -48,8 +49,13 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(common.documents(spark, sf_dir))
 
 
+def op3_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(common.documents(spark, sf_dir))
+
+
 QUERIES = {
     "op2_licences": op2_licences,
+    "op3_hidden_markov": op3_hidden_markov,
     "op4_toxicity": op4_toxicity,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_jaccard_join": op6_jaccard_join,
