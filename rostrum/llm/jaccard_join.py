@@ -12,8 +12,9 @@ them. So sets meet under the hashes of their segments:
 * every segment of a set is indexed; the set itself probes only with as many as
   it needs, chosen by cost: the fullest segments first, as they are rarest, then
   one-deletion neighbourhoods of small segments, and empty ones last;
-* sets under one hash are tied to the smallest document of it. Only where that
-  leaves more than one component are the pairs across components formed.
+* sets under one hash are first compared with one centre, the document that meets
+  most others. Only where that leaves more than one component are the pairs
+  across components formed.
 
 Every pair met is verified on the whole sets.
 """
@@ -33,6 +34,7 @@ from rostrum.llm.components import components
 
 BAND = 1.25  # ratio of the largest size of a band to its smallest
 NEIGHBOURS_IN = 16  # one-deletion neighbourhoods are indexed in so many segments of a band
+STAR_ROUNDS = 2  # rounds that tie documents to one centre each before pairs are formed
 MEMBERS_PER_CHUNK = 256  # documents verified against one copy of their centre
 CHUNK_BYTES = 1 << 20  # texts hashed at once
 
@@ -293,27 +295,102 @@ def _verify(batches, words: int, percent: int):
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], schema=_LINKS)
 
 
-def _linked(pairs: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose sets are similar; ``rows`` holds the texts.
+_ELEMENTS = pa.schema([("element", pa.int64()), ("owner", pa.int64())])
+
+
+def _differences(batches, words: int):
+    """Elements of each centre, and those of its members that it lacks; rows as for :func:`_verify`."""
+    centre, known = None, np.zeros(0, np.uint64)
+    for batch in batches:
+        rows = list(zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True))
+        for at, held in _chunks([row[3] for row in rows]):
+            element, counts = shingle_sets(held, words)
+            for (c, chunk, doc, _), mine in zip(rows[at:], np.split(element, np.cumsum(counts)[:-1])):
+                own = doc
+                if doc is None:
+                    known = np.union1d(known, mine) if centre == (c, chunk) else mine
+                    centre, own = (c, chunk), c
+                    mine = mine if chunk == 0 else mine[:0]
+                else:
+                    mine = np.setdiff1d(mine, known, assume_unique=True)
+                if len(mine):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(mine.view(np.int64)), pa.array(np.full(len(mine), own))], schema=_ELEMENTS
+                    )
+
+
+def _shipped(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Texts of pairs ``(a, b)``, sorted so that a centre ``a`` comes before its members; ``b`` may be null.
 
     A centre of many pairs is split into chunks, each with its own copy of the
-    centre's text, so that none is verified in one task alone.
+    centre's text, so that none is handled in one task alone.
     """
     chunks = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / MEMBERS_PER_CHUNK).cast("int").alias("chunks"))
-    members = pairs.join(chunks, "a").select(
+    members = pairs.where(F.col("b").isNotNull()).join(chunks, "a").select(
         F.col("b").alias("_doc"), "a", F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int").alias("chunk"), F.col("b").alias("member")
     )
     centres = chunks.select(
         F.col("a").alias("_doc"), "a", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(None).cast("bigint").alias("member")
     )
     wanted = members.unionByName(centres)
-    shipped = (
+    return (
         wanted.join(rows, wanted["_doc"] == rows["doc_id"])
         .select("a", "chunk", "member", "text")
         .repartition("a", "chunk")
         .sortWithinPartitions("a", "chunk", F.col("member").asc_nulls_first())
     )
-    return shipped.mapInArrow(partial(_verify, words=words, percent=percent), "a bigint, b bigint")
+
+
+def _linked(pairs: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` whose sets are similar; ``rows`` holds the texts."""
+    return _shipped(pairs, rows).mapInArrow(partial(_verify, words=words, percent=percent), "a bigint, b bigint")
+
+
+def _still_open(index: DataFrame, reached: DataFrame) -> DataFrame:
+    """Index entries, with their document's component, of keys under which components differ."""
+    placed = index.join(reached, index["doc_id"] == reached["node"], "left").select(
+        "key", "doc_id", "probes", "meets", "size", F.coalesce("root", "doc_id").alias("root")
+    )
+    split = placed.groupBy("key").agg(F.min("root").alias("_from"), F.max("root").alias("_to")).where("_from < _to")
+    return placed.join(split.select("key"), "key", "left_semi")
+
+
+def _by_centre(pairs: DataFrame) -> DataFrame:
+    """The pairs with the document of more pairs first, so that its text is shipped once."""
+    ends = pairs.select("a").union(pairs.select("b")).groupBy("a").agg(F.count(F.lit(1)).alias("n"))
+    first, second = (ends.select(F.col("a").alias(end), F.col("n").alias(f"n_{end}")) for end in ("a", "b"))
+    turn = F.col("n_b") > F.col("n_a")
+    return pairs.join(first, "a").join(second, "b").select(
+        F.when(turn, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(turn, F.col("a")).otherwise(F.col("b")).alias("b")
+    )
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _elements_of_its_own(open_docs: DataFrame, tried: DataFrame, rows: DataFrame, words: int) -> DataFrame:
+    """``owner, own``: how many elements of an open document no other open document has, at least.
+
+    Only what a document has beyond the centre it was compared with is listed;
+    the rest is listed once, with the centre.
+    """
+    at_centre = (
+        _by_centre(tried).join(open_docs.select(F.col("doc_id").alias("b")), "b", "left_semi").groupBy("b").agg(F.min("a").alias("a"))
+    )
+    alone = open_docs.join(at_centre, open_docs["doc_id"] == at_centre["b"], "left_anti").select(
+        F.col("doc_id").alias("a"), F.lit(None).cast("bigint").alias("b")
+    )
+    listed = _shipped(at_centre.select("a", "b").union(alone), rows).mapInArrow(
+        partial(_differences, words=words), "element bigint, owner bigint"
+    )
+    return (
+        listed.groupBy("element")
+        .agg(F.min("owner").alias("owner"), F.max("owner").alias("other"))
+        .where("owner = other")
+        .groupBy("owner")
+        .agg(F.count(F.lit(1)).alias("own"))
+    )
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -341,37 +418,57 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     )
     whole = met.where("tag < 0")
     equal = keep(whole.where("first < doc_id").groupBy(F.col("doc_id").alias("a")).agg(F.min("first").alias("b")))
-    index = met.where("tag >= 0")
 
-    def of_classes(pairs: DataFrame) -> DataFrame:
-        """Pairs between the first documents of equal ones, each once."""
-        for end in ("a", "b"):
-            stand_in = equal.select(F.col("a").alias("_copy"), F.col("b").alias("_stand_in"))
-            pairs = pairs.join(stand_in, pairs[end] == stand_in["_copy"], "left").withColumn(
-                end, F.coalesce("_stand_in", end)
-            ).drop("_copy", "_stand_in")
-        return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-    tied = keep(of_classes(
-        index.where("first < doc_id").groupBy(F.col("doc_id").alias("b")).agg(F.min("first").alias("a")).select("a", "b")
-    ))
-    involved = index.select("doc_id").union(equal.select("b")).distinct()
-    held = keep(rows.join(involved, "doc_id", "left_semi"))
-    links = keep(_linked(tied, held, words, percent).union(equal))
-
-    # Keys whose documents are not all connected yet: the pairs across components.
-    reached = components(links)
-    placed = index.join(reached, index["doc_id"] == reached["node"], "left").select(
-        "key", "doc_id", "tag", F.coalesce("root", "doc_id").alias("root")
+    # From here on the first of equal documents stands for them all.
+    index = met.where("tag >= 0")
+    index = (
+        index.join(equal, index["doc_id"] == equal["a"], "left")
+        .groupBy("key", F.coalesce("b", "doc_id").alias("doc_id"))
+        .agg(F.max("tag").alias("probes"))
     )
-    split = placed.groupBy("key").agg(F.min("root").alias("_from"), F.max("root").alias("_to")).where("_from < _to")
-    open_ = keep(placed.join(split.select("key"), "key", "left_semi"))
-    left = open_.where("tag = 1").select("key", F.col("doc_id").alias("a"), F.col("root").alias("root_a"))
-    right = open_.select("key", F.col("doc_id").alias("b"), F.col("root").alias("root_b"))
-    across = of_classes(left.join(right, "key").where("root_a <> root_b").select("a", "b"))
-    across = keep(across.join(tied, ["a", "b"], "left_anti"))
-    more = _linked(across, held, words, percent)
-    reached = components(keep(links.union(more)))
+    # How often a document meets others: of edited copies, what they were made from meets most.
+    met_under = index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    meets = index.join(met_under, "key").groupBy("doc_id").agg(F.sum("n").alias("meets"))
+    size = whole.groupBy("doc_id").agg(F.max(-1 - F.col("tag")).alias("size"))
+    about = keep(meets.join(size, "doc_id"))
+    index = keep(index.join(about, "doc_id").join(met_under, "key", "left_semi"))
+    held = keep(rows.join(about, "doc_id", "left_semi"))
+
+    links, tried = equal, equal.limit(0)
+    for _ in range(STAR_ROUNDS):
+        open_ = keep(_still_open(index, components(links)))
+        star = (
+            open_.withColumn("_most", F.max(F.struct("meets", "doc_id", "root")).over(under))
+            .where("_most.root <> root")
+            .groupBy(F.col("doc_id").alias("a"))
+            .agg(F.max("_most").alias("_most"))
+            .select("a", F.col("_most.doc_id").alias("b"))
+        )
+        star = keep(_ordered(star).join(tried, ["a", "b"], "left_anti"))
+        tried = tried.union(star)
+        links = keep(links.union(_linked(_by_centre(star), held, words, percent)))
+
+    # What is not connected now is settled pair by pair, but for pairs that cannot
+    # be similar: elements of their own leave the two too little in common.
+    open_ = keep(_still_open(index, components(links)))
+    open_docs = open_.select("doc_id").distinct()
+    own = _elements_of_its_own(open_docs, tried, held, words)
+    open_ = open_.join(own, open_["doc_id"] == own["owner"], "left").withColumn(
+        "shared", F.col("size") - F.coalesce("own", F.lit(0))
+    )
+    open_ = keep(open_.select("key", "doc_id", "probes", "root", "size", "shared"))
+    columns = ("doc_id", "root", "size", "shared", "probes")
+    left = open_.where("probes = 1").select("key", *(F.col(c).alias(f"{c}_a") for c in columns))
+    right = open_.select("key", *(F.col(c).alias(f"{c}_b") for c in columns))
+    possible = (
+        (left["key"] == right["key"])
+        & (F.col("root_a") != F.col("root_b"))
+        & ((F.col("doc_id_a") < F.col("doc_id_b")) | (F.col("probes_b") == 0))
+        & ((100 + percent) * F.least("shared_a", "shared_b") >= percent * (F.col("size_a") + F.col("size_b")))
+    )
+    across = _ordered(left.join(right, possible).select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")))
+    across = keep(across.join(tried, ["a", "b"], "left_anti"))
+    reached = components(keep(links.union(_linked(_by_centre(across), held, words, percent))))
     return whole.join(reached, whole["doc_id"] == reached["node"], "left").select(
         "doc_id", (-1 - F.col("tag")).alias("n_shingles"), F.coalesce("root", "doc_id").alias("component_id")
     )
