@@ -15,6 +15,7 @@ from rostrum.llm.licences import scan_licences
 from rostrum.llm.secrets import scan_secrets
 from rostrum.llm.suffix_dedup import remove_repeats
 from rostrum.llm.toxicity import score_toxicity
+from rostrum.llm.weighted_sampling import fingerprints
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,7 +54,12 @@ def op3_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(common.documents(spark, sf_dir))
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(common.documents(spark, sf_dir))
+
+
 QUERIES = {
+    "op1_fingerprints": op1_fingerprints,
     "op2_licences": op2_licences,
     "op3_hidden_markov": op3_hidden_markov,
     "op4_toxicity": op4_toxicity,

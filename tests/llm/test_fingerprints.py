@@ -1,0 +1,70 @@
+"""Consistent weighted sampling against plain pairings and similarities."""
+
+from __future__ import annotations
+
+import hashlib
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from rostrum.llm import weighted_sampling as sampling
+from tests.llm import tricky
+
+
+def plain(rows):
+    order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0))
+    out = []
+    for i, (doc_id, text) in enumerate(order):
+        text, after = text or "", order[(i + 1) % len(order)][1] or ""
+        half = len(text) // 2
+        edited = text[: len(text) - half] + after[:half]
+        out.append((doc_id, len(text), hashlib.sha256(edited.encode()).hexdigest(), edited, after))
+    return out
+
+
+def similarity(a, b):
+    a, b = Counter(a.lower().split()), Counter(b.lower().split())
+    return sum((a & b).values()) / max(1, sum((a | b).values()))
+
+
+@pytest.mark.parametrize("per_range", [1, 3, 500])
+def test_pairs_of_following_documents(spark, monkeypatch, per_range):
+    monkeypatch.setattr(sampling, "ROWS_PER_RANGE", per_range)
+    rows = [(i, t) for i, t, *_ in tricky.rows()]
+    found = tricky.by_id(sampling.fingerprints(tricky.documents(spark), 2), "doc_id", "n_chars", "edited_sha256")
+    # Repeated rows differ only in which of them comes first; they are equal here.
+    assert found == sorted((x[:3] for x in plain(rows)), key=repr)
+
+
+def test_equal_texts_and_empty_ones(spark):
+    found = {r.doc_id: r for r in sampling.fingerprints(tricky.documents(spark)).collect()}
+    assert found[12].fingerprint == found[14].fingerprint != found[6].fingerprint
+    assert found[2].fingerprint == found[3].fingerprint == found[4].fingerprint == ""
+    assert found[2].near_next == 1.0 and found[4].near_next == 0.0
+    assert found[17].near_next == 1.0
+    assert all(0 <= x <= 1 for r in found.values() for x in (r.near_edited, r.near_next))
+
+
+def test_collisions_are_the_generalised_jaccard_similarity(spark):
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(w for i, w in enumerate(words) for _ in range(1 + (i * k) % 7) if (i + k) % 5) for k in range(1, 9)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id: r for r in sampling.fingerprints(docs, 100).collect()}
+    for doc_id, _, _, edited, after in plain(list(enumerate(texts))):
+        assert found[doc_id].near_next == pytest.approx(similarity(texts[doc_id], after), abs=0.17)
+        assert found[doc_id].near_edited == pytest.approx(similarity(texts[doc_id], edited), abs=0.17)
+
+
+def test_terms_are_counted(spark):
+    frame = spark.createDataFrame([("b a b c a b",), ("",), ("x",)], "s string")
+    terms = sampling.weighted_terms(sampling.words(F.col("s")))
+    found = [{(x.term, x.weight) for x in row[0]} for row in frame.select(terms).collect()]
+    assert [sorted(w for _, w in x) for x in found] == [[1, 2, 3], [], [1]]
+
+
+def test_one_and_no_documents(spark):
+    one = spark.createDataFrame([(5, "abc d")], "doc_id bigint, text string")
+    row = sampling.fingerprints(one).first()
+    assert row.near_next == 1.0 and row.edited_sha256 == hashlib.sha256(b"abcab").hexdigest()
+    assert sampling.fingerprints(tricky.empty(spark)).count() == 0
