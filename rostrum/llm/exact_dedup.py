@@ -8,7 +8,7 @@ nor the texts of earlier batches are shuffled again.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rostrum.llm.common import SPACES, keep
@@ -16,10 +16,9 @@ from rostrum.llm.common import SPACES, keep
 INDEX_BUCKETS = 64
 
 
-def digests(docs: DataFrame) -> DataFrame:
-    """The documents with ``_digest``: SHA-256 of the text with white space runs made one space."""
-    text = F.regexp_replace(F.coalesce("text", F.lit("")), SPACES, " ")
-    return docs.withColumn("_digest", F.sha2(text, 256))
+def digest() -> Column:
+    """SHA-256 of the text with white space runs made one space."""
+    return F.sha2(F.regexp_replace(F.coalesce("text", F.lit("")), SPACES, " "), 256)
 
 
 class DigestIndex:
@@ -55,7 +54,7 @@ class DigestIndex:
         others, and of repeated rows with one id one is kept. No documents give
         no rows and leave the index as it is.
         """
-        rows = digests(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), "_digest")
+        rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), digest().alias("_digest"))
         # Repeated rows fold first; then a digest has one row per map task in the shuffle.
         ids = keep(rows.groupBy("doc_id", "_digest").agg(F.count(F.lit(1)).alias("_rows")))
         groups = keep(
@@ -96,12 +95,12 @@ class DigestIndex:
         kept = self.admit(docs).where("kept").select(
             F.col("doc_id").alias("_keep_doc"), F.col("text_sha256").alias("_keep_digest")
         )
-        rows = digests(docs)
-        same = rows["doc_id"].eqNullSafe(kept["_keep_doc"]) & (rows["_digest"] == kept["_keep_digest"])
-        copies = Window.partitionBy("doc_id", "_digest").orderBy("_digest")
+        rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("doc_id"), digest().alias("digest"))
+        same = rows["doc_id"].eqNullSafe(kept["_keep_doc"]) & (rows["digest"] == kept["_keep_digest"])
+        copies = Window.partitionBy("doc_id", "digest").orderBy("digest")
         return (
             rows.join(kept, same)
-            .withColumn("_copy", F.row_number().over(copies))
-            .where("_copy = 1")
-            .select(*docs.columns)
+            .withColumn("copy", F.row_number().over(copies))
+            .where("copy = 1")
+            .select("doc.*")
         )

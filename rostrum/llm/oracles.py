@@ -14,4 +14,58 @@ SQL = {
         )
         select doc_id, keep_id, group_size, place = 1 as kept, text_sha256 from ranked
     """,
+    # The weights are those of mixing.py's defaults: 98 % of the greatest entropy,
+    # at most 2 rounds, 1024 blocks, 50 halvings.
+    "op9_mixing": r"""
+        with recursive docs as (
+            select doc_id, coalesce(source, '') as source,
+                len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')) + 1 as n_tokens,
+                ('0x' || md5('block:' || coalesce(doc_id::varchar, 'null'))[1:7])::bigint % 1024 as block
+            from documents
+        ),
+        shares as (
+            select source, sum(n_tokens)::bigint as tokens,
+                sum(n_tokens) / (select sum(n_tokens) from docs) as p, count(*) over () as n
+            from docs group by source
+        ),
+        halvings as (
+            select 0 as step, 0.0::double as e_low, 1.0::double as e_high, 0.0::double as r_low, 1.0::double as r_high
+            union all
+            select step + 1, if(e_met, e_mid, e_low), if(e_met, e_high, e_mid), if(r_met, r_mid, r_low), if(r_met, r_high, r_mid)
+            from (
+                select *, (e_low + e_high) / 2 as e_mid, (r_low + r_high) / 2 as r_mid,
+                    (select -sum(w * ln(w)) >= 0.98 * ln(any_value(n))
+                     from (select n, p ** ((e_low + e_high) / 2) / sum(p ** ((e_low + e_high) / 2)) over () as w from shares)) as e_met,
+                    (select max(p ** ((r_low + r_high) / 2 - 1)) / min(p ** ((r_low + r_high) / 2 - 1)) > 2.0 from shares) as r_met
+                from halvings where step < 50
+            )
+        ),
+        chosen as (
+            select round(greatest(
+                case when (select -sum(p * ln(p)) >= 0.98 * ln(any_value(n)) from shares) then 1.0 else e_low end,
+                case when (select max(1 / p) / min(1 / p) <= 2.0 from shares) then 0.0 else r_low end
+            ), 9) as x
+            from halvings where step = 50
+        ),
+        figures as (
+            select source, tokens, x, p ** x / sum(p ** x) over () as weight,
+                p ** (x - 1) / min(p ** (x - 1)) over () as repeats
+            from shares, chosen
+        ),
+        blocks as (
+            select source, block, sum(n_tokens) as tokens from docs group by all
+        ),
+        ordered as (
+            select b.source, b.block, f.tokens as source_tokens, weight, repeats, x,
+                sum(b.tokens) over (
+                    partition by b.source
+                    order by ('0x' || md5('order:' || floor(repeats)::bigint || ':' || b.source || ':' || b.block)[1:7])::bigint, b.block
+                ) as so_far
+            from blocks b join figures f using (source)
+        )
+        select doc_id, source, n_tokens::bigint as n_tokens, block,
+            (floor(repeats) + if(so_far <= round((repeats - floor(repeats)) * source_tokens), 1, 0))::bigint as copies,
+            source_tokens, round(weight, 6) as weight, round(repeats, 6) as repeats, round(x, 6) as exponent
+        from docs join ordered using (source, block)
+    """,
 }

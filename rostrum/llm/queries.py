@@ -12,6 +12,7 @@ from rostrum.llm.exact_dedup import DigestIndex
 from rostrum.llm.hidden_markov import score_documents
 from rostrum.llm.jaccard_join import near_duplicates
 from rostrum.llm.licences import scan_licences
+from rostrum.llm.mixing import mixture
 from rostrum.llm.secrets import scan_secrets
 from rostrum.llm.suffix_dedup import remove_repeats
 from rostrum.llm.toxicity import score_toxicity
@@ -58,6 +59,10 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(common.documents(spark, sf_dir))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture(common.documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_licences": op2_licences,
@@ -67,5 +72,6 @@ QUERIES = {
     "op6_jaccard_join": op6_jaccard_join,
     "op7_secrets": op7_secrets,
     "op8_suffix_dedup": op8_suffix_dedup,
+    "op9_mixing": op9_mixing,
     "op10_pack": op10_pack,
 }

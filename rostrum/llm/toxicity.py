@@ -32,9 +32,9 @@ FEATURES = 1 << 18
 BEGINNINGS = (4, 5, 6)
 ROUNDS = 25
 RATE = 0.3
-# A word marks toxic text if G squared of its document counts reaches this (p < 0.001)
+# A word marks toxic text if G squared of its document counts reaches this (p < 0.005)
 # and its rate among toxic documents is this many times the other.
-EVIDENCE = 12.0
+EVIDENCE = 8.0
 TIMES = 8.0
 # Chains start anew after so many tokens, which bounds the steps of a batch.
 CHAIN = 2048
@@ -356,4 +356,5 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents, with all their columns, that are not predicted toxic."""
     tags = tagger(docs, train(docs, labels))
-    return docs.withColumn("_tags", tags(F.col("text"))).where("_tags.score < 0.5").drop("_tags")
+    tagged = docs.select(F.struct("*").alias("doc"), tags(F.col("text")).alias("tags"))
+    return tagged.where("tags.score < 0.5").select("doc.*")

@@ -1,0 +1,71 @@
+"""Temperature mixing: exponents, whole realisation, and the query against SQL."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import pytest
+
+from checks.compare import difference, duckdb_over
+from rostrum.llm import mixing, oracles
+from rostrum.llm.queries import QUERIES
+from tests.llm import tricky
+
+
+def test_exponent_meets_the_entropy_or_the_limit():
+    tokens = [900.0, 300.0, 100.0, 100.0]
+    x = mixing.exponent_for(tokens, target=0.9, most=1e9)
+    assert mixing.entropy(mixing.weights(tokens, x)) == pytest.approx(0.9 * mixing.entropy([0.25] * 4), abs=1e-6)
+    x = mixing.exponent_for(tokens, target=1.0, most=3.0)
+    assert max(mixing.repeats(tokens, x)) == pytest.approx(3.0, abs=1e-6)
+    assert mixing.exponent_for([5.0, 5.0]) == mixing.exponent_for([5.0]) == 1.0
+    assert mixing.exponent_for(tokens, target=1.0, most=9.0) == pytest.approx(0.0, abs=1e-6)
+
+
+def skewed(spark, n=3000):
+    return spark.range(n).selectExpr(
+        "id as doc_id", "repeat('word ', cast(id % 17 as int)) as text",
+        "if(id % 10 < 7, 'big', if(id % 10 < 9, 'mid', 'small')) as source", "'x' as _block", "1 as copies",
+    )
+
+
+def test_every_document_comes_and_budgets_hold(spark):
+    docs = skewed(spark)
+    mixed = mixing.mix(docs, target=1.0, most=2.5).select("doc.doc_id", "doc.source", "round").collect()
+    taken = Counter(r.doc_id for r in mixed)
+    assert set(taken) == set(range(3000))
+    tokens = {i: i % 17 + 1 for i in range(3000)}
+    own = {s: sum(tokens[r.doc_id] for r in mixed if r.source == s and r.round == 0) for s in ("big", "mid", "small")}
+    got = {s: sum(tokens[r.doc_id] for r in mixed if r.source == s) / own[s] for s in own}
+    want = dict(zip(own, mixing.repeats(list(own.values()), mixing.exponent_for(list(own.values()), 1.0, 2.5)), strict=True))
+    for source in own:
+        assert want[source] - 0.02 <= got[source] <= want[source] + 1e-9
+    assert set(taken[r.doc_id] for r in mixed if r.source == "big") == {1}
+
+
+def test_mixture_keeps_columns_and_order_is_repeatable(spark):
+    docs = skewed(spark)
+    first, second = (mixing.mixed_documents(docs, 1.0).collect() for _ in range(2))
+    assert mixing.mixed_documents(docs).columns == docs.columns and first == second
+
+
+def test_tricky_rows(spark):
+    found = mixing.mixture(tricky.documents(spark)).collect()
+    assert len(found) == len(tricky.rows())
+    assert {r.source for r in found if r.doc_id is None} == {""}
+    assert mixing.mixture(tricky.empty(spark)).count() == mixing.mixed_documents(tricky.empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("name", sorted(oracles.SQL))
+def test_query_matches_sql(spark, name):
+    sf_dir = "/root/testdata/sf0.001"
+    with duckdb_over(sf_dir) as duck:
+        assert difference(QUERIES[name](spark, sf_dir), duck, oracles.SQL[name]) is None
+        # and with one source far larger than the others
+        duck.execute("create or replace temp table skewed as select * replace (if(doc_id % 3 > 0, 'src0', source) as source) from documents")
+        duck.execute("create or replace temp view documents as select * from skewed")
+        if name == "op9_mixing":
+            docs = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr(
+                "* except (source)", "if(doc_id % 3 > 0, 'src0', source) as source"
+            )
+            assert difference(mixing.mixture(docs), duck, oracles.SQL[name]) is None
