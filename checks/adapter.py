@@ -283,7 +283,7 @@ _TABLES: dict[str, tuple[dict[str, str], str]] = {
             "type_libelle": "lang",
             "denomination_structurelle": "source",
             "provenance": "source",
-            "titre_principal": "substr(replace(text, chr(10), ' '), 1, 80) || '.'",
+            "titre_principal": "replace(text, chr(10), ' ') || '.'",
             "dossier_ref": "case when doc_id % 17 <> 0 then 'DL' || cast(doc_id % 150 as string) end",
             "date_creation": f"cast({_day('1999-01-01', 'doc_id % 700')} as timestamp)",
             "date_depot": "case when doc_id % 6 <> 0 then "

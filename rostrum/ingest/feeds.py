@@ -47,6 +47,15 @@ _TABLES: dict[str, tuple[Parser, Callable[..., DataFrame]]] = {
         questions.questions_ecrites_renouvellements,
     ),
 }
+# Beginnings and ends of the names of a feed's documents in its archives.
+ENTRIES: dict[str, tuple[tuple[str, str], ...]] = {
+    "deputies": (("json/acteur/", ".json"), ("json/organe/", ".json"), ("json/deport/", ".json")),
+    "debates": (("xml/", ".xml"),),
+    "ballots": (("json/", ".json"),),
+    "files": (("json/document/", ".json"), ("json/dossierParlementaire/", ".json")),
+    "amendments": (("", ".json"),),
+    "questions": (("json/", ".json"),),
+}
 _STAMPED = frozenset(FEEDS["deputies"])
 
 

@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rostrum.functions.coerce import strip
-from rostrum.functions.nodes import fields
 from rostrum.sources.archive import json_documents
 
 
@@ -29,14 +27,18 @@ def parse_documents(
     ``bad_json`` and ``no_root`` say whether a document that is not JSON, or one
     without that node, fails the job or is left out.
     """
-    doc = F.from_json("body", fields((root, schema)))[root]
-    holder = F.struct("entry", "body", doc.alias("doc"))
+    # Read as the only element of a list, a body may hold nothing before or after
+    # its document: more documents make more elements, other text bad JSON.
+    listed = F.concat(F.lit("["), "body", F.lit("]"))
+    shape = T.ArrayType(T.StructType([T.StructField(root, schema)]))
+    parsed = F.from_json(listed, shape, {"allowSingleQuotes": "false"})
+    holder = F.struct("entry", listed.alias("listed"), parsed.alias("parsed"))
     # Taking the parsed node out of an array keeps later filters on it above the
     # parse: pushed below, each of them would parse the document again.
     read = json_documents(documents, prefix).select(F.explode(F.array(holder)).alias("d")).select("d.*")
-    well_formed = F.when(
-        F.col("doc").isNull(), F.try_parse_json("body").isNotNull()
-    ).otherwise(strip(F.col("body")).endswith("}"))
+    read = read.withColumn("doc", F.when(F.size("parsed") == 1, F.get("parsed", 0)[root]))
+    one = F.try_variant_get(F.try_parse_json("listed"), "$", "array<variant>")
+    well_formed = F.when(F.col("doc").isNotNull(), True).otherwise(F.coalesce(F.size(one) == 1, F.lit(False)))
     if bad_json == "fail":
         checked = F.when(~well_formed, _fail("bad JSON").cast(schema))
     else:

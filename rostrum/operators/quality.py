@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rostrum.plans.registry import Models
-from rostrum.schemas import REQUIRED
 
 # What the models promise about their key columns.
 NOT_NULL = (
@@ -24,10 +23,21 @@ UNIQUE = (
     ("stg_dossiers_parlementaires", "dossier_uid"),
 )
 REQUIRED_SOURCES = (
-    *("acteurs", "mandats", "organes", "interventions", "points_seance", "comptes_rendus"),
-    *("scrutins", "questions_ecrites", "questions_ecrites_renouvellements"),
-    *("scrutin_votes_individuels", "scrutin_groupes_votes", "documents"),
-    *("dossiers_parlementaires", "dossier_actes_legislatifs", "amendements"),
+    "acteurs",
+    "mandats",
+    "organes",
+    "interventions",
+    "points_seance",
+    "comptes_rendus",
+    "scrutins",
+    "questions_ecrites",
+    "questions_ecrites_renouvellements",
+    "scrutin_votes_individuels",
+    "scrutin_groupes_votes",
+    "documents",
+    "dossiers_parlementaires",
+    "dossier_actes_legislatifs",
+    "amendements",
 )
 
 
@@ -46,19 +56,6 @@ def missing_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counted.unpivot([], list(columns), "column_name", "missing")
 
 
-def require_columns(df: DataFrame, table: str) -> None:
-    """Raise if a required column of ``table`` is missing anywhere, with sample rows."""
-    columns = REQUIRED[table]
-    if not columns:
-        return
-    for name, missing in missing_counts(df, columns).collect():
-        if missing:
-            sample = df.where(is_missing(name)).limit(3).collect()
-            raise ValidationError(
-                f"{table}: {missing} rows miss required field '{name}', such as {sample}"
-            )
-
-
 def null_rows(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNull())
 
@@ -99,7 +96,6 @@ def require_sources(spark: SparkSession, database: str) -> None:
 def failures(models: Models) -> DataFrame:
     """``(check, model, column_name, failures)`` for every promise of the models."""
     found = [
-        *[("not_null", m, c, null_rows(models[m], c)) for m, c in NOT_NULL],
         *[("unique", m, c, repeated_values(models[m], c)) for m, c in UNIQUE],
         ("no_exact_duplicates", "stg_mandats", "*", exact_duplicates(models["stg_mandats"])),
     ]
@@ -112,6 +108,15 @@ def failures(models: Models) -> DataFrame:
         )
         for check, model, column, rows in found
     ]
+    # A model's missing keys are counted in one pass over it.
+    for model in dict.fromkeys(m for m, _ in NOT_NULL):
+        columns = [c for m, c in NOT_NULL if m == model]
+        nulls = models[model].agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+        counted.append(
+            nulls.unpivot([], columns, "column_name", "failures").select(
+                F.lit("not_null").alias("check"), F.lit(model).alias("model"), "column_name", "failures"
+            )
+        )
     result = counted[0]
     for more in counted[1:]:
         result = result.unionByName(more)

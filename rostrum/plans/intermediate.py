@@ -71,7 +71,7 @@ def int_depute_dans_partis(m: Models) -> DataFrame:
         .join(bodies, "organe_uid", "left")
         .select("depute_uid", "gp_libelle", "gp_couleur")
         .distinct()
-        .orderBy("gp_libelle")
+        .orderBy("gp_libelle", "depute_uid", "gp_couleur")  # equal labels spread over tasks
     )
 
 
@@ -81,7 +81,7 @@ def int_liste_siege(m: Models) -> DataFrame:
         _mandates_of_type(m, "ASSEMBLEE")
         .select("depute_uid", "mandature_place_hemicycle")
         .distinct()
-        .orderBy("mandature_place_hemicycle")
+        .orderBy("mandature_place_hemicycle", "depute_uid")
     )
 
 

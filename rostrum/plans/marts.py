@@ -325,7 +325,7 @@ def mart_depute_place_hemicycle(m: Models) -> DataFrame:
             *("depute_uid", "nom", "prenom", "mandature_place_hemicycle"),
             *("gp_libelle", "gp_couleur"),
         )
-        .orderBy("mandature_place_hemicycle")
+        .orderBy("mandature_place_hemicycle", "depute_uid", "gp_libelle", "gp_couleur")
     )
 
 

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Adaptive execution broadcasts a join side whose measured size is at most this.
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 << 20),
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
 }
 

@@ -2,7 +2,8 @@
 
 Archives up to a size are read whole by Spark's own file source. A larger one
 would keep a single task busy, so its directory is read first and ranges of
-entries are handed to as many tasks as its size calls for.
+entries are handed to as many tasks as its size calls for. Either way entries are
+chosen by name before they are decompressed, by the same decoder.
 """
 
 from __future__ import annotations
@@ -10,8 +11,7 @@ from __future__ import annotations
 import io
 import struct
 import zipfile
-import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from urllib.parse import quote
 
 import pyarrow as pa
@@ -23,7 +23,7 @@ MIB = 1 << 20
 _DOCUMENT = "archive string, entry string, body string"
 _RANGE = (
     "archive string, start bigint, stop bigint,"
-    " members array<struct<entry:string,offset:bigint,size:bigint,method:int,crc:bigint>>"
+    " members array<struct<entry:string,offset:bigint,size:bigint,length:bigint,method:int,flags:int,crc:bigint>>"
 )
 _BATCH_CHARS = 16 * MIB
 # Beyond this many ranges a task reads several of them.
@@ -57,37 +57,79 @@ def _text(data: bytes) -> str:
     return data.decode("utf-8-sig")
 
 
-def _unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def rows() -> Iterator[tuple[str, str, str]]:
-        for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content.as_py())) as archive:
-                    for info in archive.infolist():
-                        if not info.is_dir():
-                            yield path.as_py(), info.filename, _text(archive.read(info))
+# Beginnings and ends of the names of wanted entries; none wants all.
+Names = Sequence[tuple[str, str]]
 
-    return _batches(rows())
 
+def _wanted(info: zipfile.ZipInfo, names: Names) -> bool:
+    return not info.is_dir() and (
+        not names or any(info.filename.startswith(a) and info.filename.endswith(b) for a, b in names)
+    )
 
-def unzip(archives: DataFrame) -> DataFrame:
-    """Documents of archives held as ``(path, content)``, the columns of ``binaryFile``."""
-    return archives.select("path", "content").mapInArrow(_unzip, _DOCUMENT)
 
+def unzip(archives: DataFrame, names: Names = ()) -> DataFrame:
+    """Documents of archives held as ``(path, content)``, the columns of ``binaryFile``."""
 
-def _open(path: str) -> pa.NativeFile:
-    if path.startswith("file:"):
-        return fs.LocalFileSystem().open_input_file("/" + path[len("file:") :].lstrip("/"))
-    files, inner = fs.FileSystem.from_uri(quote(path, safe=":/@"))
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple[str, str, str]]:
+            for batch in batches:
+                for path, content in zip(batch["path"], batch["content"]):
+                    with zipfile.ZipFile(io.BytesIO(content.as_py())) as archive:
+                        for info in archive.infolist():
+                            if _wanted(info, names):
+                                yield path.as_py(), info.filename, _text(archive.read(info))
+
+        return _batches(rows())
+
+    return archives.select("path", "content").mapInArrow(read, _DOCUMENT)
+
+
+# Hadoop's scheme of a store, Arrow's, and where Hadoop keeps what Arrow asks for.
+_STORES = {
+    "s3a": "s3",
+    "s3n": "s3",
+    "s3": "s3",
+    "gs": "gs",
+    "hdfs": "hdfs",
+    "abfs": "abfs",
+    "abfss": "abfss",
+    "file": "file",
+}
+_S3_OPTIONS = {
+    "access_key": "fs.s3a.access.key",
+    "secret_key": "fs.s3a.secret.key",
+    "session_token": "fs.s3a.session.token",
+    "region": "fs.s3a.endpoint.region",
+    "endpoint_override": "fs.s3a.endpoint",
+}
+# The longest file that Spark's binary source can hold in a row.
+_LONGEST_WHOLE = (1 << 31) - 1 - 4096
+
+
+def _options(spark: SparkSession) -> dict[str, str]:
+    """The session's own settings of the S3 store, by Arrow's names."""
+    settings = spark._jsc.hadoopConfiguration()
+    found = {name: settings.get(key) for name, key in _S3_OPTIONS.items()}
+    return {name: value for name, value in found.items() if value}
+
+
+def _open(path: str, options: dict[str, str]) -> pa.NativeFile:
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
+        return fs.LocalFileSystem().open_input_file("/" + rest.lstrip("/"))
+    if _STORES[scheme] == "s3":
+        return fs.S3FileSystem(**options).open_input_file(rest.lstrip("/"))
+    files, inner = fs.FileSystem.from_uri(quote(f"{_STORES[scheme]}:{rest}", safe=":/@"))
     return files.open_input_file(inner)
 
 
-def _list_ranges(range_bytes: int):
+def _list_ranges(range_bytes: int, names: Names, options: dict[str, str]):
     def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path in batch["path"].to_pylist():
                 yield from (
                     pa.RecordBatch.from_pylist([found], schema=_RANGE_ARROW)
-                    for found in _ranges_of(path, range_bytes)
+                    for found in _ranges_of(path, range_bytes, names, options)
                 )
 
     return ranges
@@ -106,7 +148,9 @@ _RANGE_ARROW = pa.schema(
                         ("entry", pa.string()),
                         ("offset", pa.int64()),
                         ("size", pa.int64()),
+                        ("length", pa.int64()),
                         ("method", pa.int32()),
+                        ("flags", pa.int32()),
                         ("crc", pa.int64()),
                     ]
                 )
@@ -116,82 +160,116 @@ _RANGE_ARROW = pa.schema(
 )
 
 
-def _ranges_of(path: str, range_bytes: int) -> Iterator[dict]:
-    with _open(path) as handle, zipfile.ZipFile(handle) as archive:
+def _ranges_of(
+    path: str, range_bytes: int, names: Names, options: dict[str, str]
+) -> Iterator[dict]:
+    """Ranges of the wanted entries; what lies between them is not read."""
+    with _open(path, options) as handle, zipfile.ZipFile(handle) as archive:
         infos = sorted(archive.infolist(), key=lambda info: info.header_offset)
         stops = [info.header_offset for info in infos[1:]] + [archive.start_dir]
     current: dict | None = None
     for info, stop in zip(infos, stops):
-        if current is None:
-            current = {"archive": path, "start": info.header_offset, "members": []}
-        if not info.is_dir():
+        if _wanted(info, names):
+            if current is None:
+                current = {"archive": path, "start": info.header_offset, "members": []}
             current["members"].append(
                 {
                     "entry": info.filename,
                     "offset": info.header_offset,
                     "size": info.compress_size,
+                    "length": info.file_size,
                     "method": info.compress_type,
+                    "flags": info.flag_bits,
                     "crc": info.CRC,
                 }
             )
-        if stop - current["start"] >= range_bytes:
-            yield current | {"stop": stop}
+            current["stop"] = stop
+        if current is not None and (stop - current["start"] >= range_bytes or not _wanted(info, names)):
+            yield current
             current = None
     if current is not None:
-        yield current | {"stop": stops[-1]}
+        yield current
 
 
 def _inflate(block: memoryview, at: int, member: dict) -> bytes:
+    """A member by the decoder of whole archives: it becomes an archive of its own."""
     name, extra = struct.unpack_from("<HH", block, at + _LENGTHS_AT)
-    begin = at + _HEADER_BYTES + name + extra
-    packed = block[begin : begin + member["size"]]
-    if member["method"] == zipfile.ZIP_DEFLATED:
-        data = zlib.decompress(packed, -zlib.MAX_WBITS)
-    elif member["method"] == zipfile.ZIP_STORED:
-        data = bytes(packed)
-    else:
-        raise ValueError(f"{member['entry']}: zip method {member['method']} is not supported")
-    if zlib.crc32(data) != member["crc"]:
-        raise ValueError(f"{member['entry']}: checksum mismatch")
-    return data
-
-
-def _read_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def rows() -> Iterator[tuple[str, str, str]]:
-        for batch in batches:
-            for found in batch.to_pylist():
-                with _open(found["archive"]) as handle:
-                    handle.seek(found["start"])
-                    block = memoryview(handle.read(found["stop"] - found["start"]))
-                for member in found["members"]:
-                    data = _inflate(block, member["offset"] - found["start"], member)
-                    yield found["archive"], member["entry"], _text(data)
+    size = _HEADER_BYTES + name + extra + member["size"]
+    written = bytes(block[at + _HEADER_BYTES : at + _HEADER_BYTES + name])
+    local = bytes(block[at : at + size])
+    crc, packed, length = member["crc"], member["size"], member["length"]
+    entry = struct.pack(
+        "<4s6H3L5H2L",
+        *(b"PK\x01\x02", 63, 63, member["flags"], member["method"], 0, 0, crc, packed, length),
+        *(len(written), 0, 0, 0, 0, 0, 0),
+    )
+    end = struct.pack("<4s4H2LH", b"PK\x05\x06", 0, 0, 1, 1, len(entry) + name, len(local), 0)
+    with zipfile.ZipFile(io.BytesIO(local + entry + written + end)) as archive:
+        return archive.read(archive.infolist()[0])
 
-    return _batches(rows())
+
+def _read_ranges(options: dict[str, str]):
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple[str, str, str]]:
+            for batch in batches:
+                for found in batch.to_pylist():
+                    with _open(found["archive"], options) as handle:
+                        handle.seek(found["start"])
+                        block = memoryview(handle.read(found["stop"] - found["start"]))
+                    for member in found["members"]:
+                        data = _inflate(block, member["offset"] - found["start"], member)
+                        yield found["archive"], member["entry"], _text(data)
+
+        return _batches(rows())
+
+    return read
 
 
 def read_archives(
-    spark: SparkSession, path: str, *, whole_up_to: int = 128 * MIB, range_bytes: int = 32 * MIB
+    spark: SparkSession,
+    path: str,
+    *,
+    names: Names = (),
+    whole_up_to: int = 128 * MIB,
+    range_bytes: int = 32 * MIB,
 ) -> DataFrame:
-    """Every file in the zip archives under ``path`` as ``(archive, entry, body)``.
-
-    ``path`` is anything Spark's file sources take. Archives longer than
-    ``whole_up_to`` are opened by the executors through Arrow's file systems and
-    read in ranges of about ``range_bytes``.
+    """The files in the zip archives under ``path`` as ``(archive, entry, body)``.
+
+    ``path`` is anything Spark's file sources take. ``names`` are beginnings and
+    ends of wanted entries; others are neither decompressed nor decoded. Archives
+    longer than ``whole_up_to`` are opened by the executors through Arrow's file
+    systems and read in ranges of about ``range_bytes``; in a store that Arrow
+    does not know they are read whole too, as long as Spark can hold them. What a
+    task unpacks from whole archives is dealt out anew, so that one archive does
+    not keep one task parsing.
     """
     files = spark.read.format("binaryFile").load(path)
-    documents = unzip(files.where(F.col("length") <= whole_up_to))
     # File listing only: no content is read to learn the lengths.
-    long_files = files.where(F.col("length") > whole_up_to).select("path", "length")
-    total = long_files.agg(F.sum("length")).first()[0]
-    if total is None:
+    scheme = F.when(F.col("path").contains(":"), F.substring_index("path", ":", 1)).otherwise("file")
+    known = scheme.isin(*_STORES)
+    in_ranges = known & (F.col("length") > whole_up_to)
+    listed = files.groupBy(scheme.alias("scheme"), in_ranges.alias("in_ranges")).agg(
+        F.sum("length").alias("total"), F.max("length").alias("longest")
+    )
+    sizes = listed.collect()
+    for row in sizes:
+        if not row["in_ranges"] and row["longest"] > _LONGEST_WHOLE:
+            raise ValueError(f"archives over 2 GiB cannot be read from {row['scheme']}:")
+    whole = sum(row["total"] for row in sizes if not row["in_ranges"])
+    total = sum(row["total"] for row in sizes if row["in_ranges"])
+    documents = unzip(files.where(~in_ranges), names)
+    if whole > range_bytes:
+        documents = documents.repartition(min(-(-whole // range_bytes), _MOST_TASKS))
+    if not total:
         return documents
+    options = _options(spark)
     ranges = (
-        long_files.select("path")
-        .mapInArrow(_list_ranges(range_bytes), _RANGE)
+        files.where(in_ranges)
+        .select("path")
+        .mapInArrow(_list_ranges(range_bytes, names, options), _RANGE)
         .repartition(min(-(-total // range_bytes), _MOST_TASKS))
     )
-    return documents.unionByName(ranges.mapInArrow(_read_ranges, _DOCUMENT))
+    return documents.unionByName(ranges.mapInArrow(_read_ranges(options), _DOCUMENT))
 
 
 def json_documents(documents: DataFrame, prefix: str) -> DataFrame:

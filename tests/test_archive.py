@@ -61,7 +61,7 @@ def test_a_damaged_member_fails(spark, tmp_path):
     with zipfile.ZipFile(path, "w", zipfile.ZIP_STORED) as archive:
         archive.writestr("json/a.json", "0123456789")
     path.write_bytes(path.read_bytes().replace(b"0123456789", b"0123456780"))
-    with pytest.raises(Exception, match="checksum mismatch"):
+    with pytest.raises(Exception, match="Bad CRC-32"):
         read_archives(spark, str(path), whole_up_to=0).collect()
     with pytest.raises(Exception, match="Bad CRC-32"):
         read_archives(spark, str(path)).collect()
@@ -75,6 +75,32 @@ def test_prefix_and_suffix(spark, archives):
     }
 
 
+@pytest.mark.parametrize("whole_up_to", [0, 1 << 30])
+@pytest.mark.parametrize(
+    "method", [zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2, zipfile.ZIP_LZMA]
+)
+def test_every_method_and_only_wanted_entries(spark, tmp_path, method, whole_up_to):
+    with zipfile.ZipFile(tmp_path / "m.zip", "w", method) as archive:
+        for i in range(9):
+            archive.writestr(f"json/acteur/é{i}.json", f"body {i} " * 300)
+            archive.writestr(f"json/acteur/{i}.png", b"\x89PNG\xff\xfe")  # not text
+    documents = read_archives(
+        spark,
+        str(tmp_path),
+        names=[("json/acteur/", ".json")],
+        whole_up_to=whole_up_to,
+        range_bytes=900,
+    )
+    assert found(documents) == {("m.zip", f"json/acteur/é{i}.json", f"body {i} " * 300) for i in range(9)}
+
+
+def test_one_archive_is_spread_after_unpacking(spark, archives):
+    folder, expected = archives
+    documents = read_archives(spark, str(folder), range_bytes=500)
+    assert found(documents) == expected
+    assert documents.select(F.spark_partition_id()).distinct().count() > 3
+
+
 def test_folder_key(spark):
     paths = {
         "json/DL1/AM1.json": "DL1",
