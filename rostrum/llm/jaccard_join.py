@@ -26,7 +26,7 @@ from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rostrum.llm.common import keep, texts
@@ -34,7 +34,6 @@ from rostrum.llm.components import components
 
 BAND = 1.25  # ratio of the largest size of a band to its smallest
 NEIGHBOURS_IN = 16  # one-deletion neighbourhoods are indexed in so many segments of a band
-STAR_ROUNDS = 2  # rounds that tie documents to one centre each before pairs are formed
 MEMBERS_PER_CHUNK = 256  # documents verified against one copy of their centre
 CHUNK_BYTES = 1 << 20  # texts hashed at once
 
@@ -295,13 +294,23 @@ def _verify(batches, words: int, percent: int):
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], schema=_LINKS)
 
 
-_ELEMENTS = pa.schema([("element", pa.int64()), ("owner", pa.int64())])
+ZONES = 16
+_ELEMENTS = pa.schema([(n, pa.int64()) for n in ("owner", "element", "centre", "centre_size", "gone", "zones")])
+_ELEMENTS_DDL = ", ".join(f"{n} bigint" for n in _ELEMENTS.names)
+
+
+def zone_counts(elements: np.ndarray) -> int:
+    """Elements in each of 16 zones of the universe, up to 15 each, in 4 bits."""
+    counts = np.minimum(np.bincount((elements >> np.uint64(60)).astype(np.int64), minlength=ZONES), 15)
+    return int((counts.astype(np.uint64) << (np.arange(ZONES, dtype=np.uint64) * np.uint64(4))).sum().view(np.int64))
 
 
 def _differences(batches, words: int):
-    """Elements of each centre, and those of its members that it lacks; rows as for :func:`_verify`."""
+    """Elements of each centre, and those of its members that it lacks; and for each
+    member how many of the centre's it lacks itself, in all and by zone."""
     centre, known = None, np.zeros(0, np.uint64)
     for batch in batches:
+        out: dict[str, list] = {name: [] for name in _ELEMENTS.names}
         rows = list(zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True))
         for at, held in _chunks([row[3] for row in rows]):
             element, counts = shingle_sets(held, words)
@@ -312,11 +321,16 @@ def _differences(batches, words: int):
                     centre, own = (c, chunk), c
                     mine = mine if chunk == 0 else mine[:0]
                 else:
+                    gone = np.setdiff1d(known, mine, assume_unique=True)
                     mine = np.setdiff1d(mine, known, assume_unique=True)
-                if len(mine):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(mine.view(np.int64)), pa.array(np.full(len(mine), own))], schema=_ELEMENTS
-                    )
+                    row = (doc, None, c, len(known), len(gone), zone_counts(gone))
+                    for name, value in zip(_ELEMENTS.names, row, strict=True):
+                        out[name].append(value)
+                out["owner"] += [own] * len(mine)
+                out["element"] += mine.view(np.int64).tolist()
+                for name in _ELEMENTS.names[2:]:
+                    out[name] += [None] * len(mine)
+        yield pa.RecordBatch.from_pydict(out, schema=_ELEMENTS)
 
 
 def _shipped(pairs: DataFrame, rows: DataFrame) -> DataFrame:
@@ -325,8 +339,12 @@ def _shipped(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     A centre of many pairs is split into chunks, each with its own copy of the
     centre's text, so that none is handled in one task alone.
     """
-    chunks = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / MEMBERS_PER_CHUNK).cast("int").alias("chunks"))
-    members = pairs.where(F.col("b").isNotNull()).join(chunks, "a").select(
+    # Counted beside the pairs: a window spills where a centre has very many.
+    pairs = pairs.withColumn(
+        "chunks", F.ceil(F.count(F.lit(1)).over(Window.partitionBy("a")) / MEMBERS_PER_CHUNK).cast("int")
+    )
+    chunks = pairs.groupBy("a").agg(F.max("chunks").alias("chunks"))
+    members = pairs.where(F.col("b").isNotNull()).select(
         F.col("b").alias("_doc"), "a", F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int").alias("chunk"), F.col("b").alias("member")
     )
     centres = chunks.select(
@@ -369,11 +387,13 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _elements_of_its_own(open_docs: DataFrame, tried: DataFrame, rows: DataFrame, words: int) -> DataFrame:
-    """``owner, own``: how many elements of an open document no other open document has, at least.
+def _bounds(open_docs: DataFrame, tried: DataFrame, rows: DataFrame, words: int) -> DataFrame:
+    """``owner, own, centre, centre_size, gone, zones`` of open documents with one text.
 
-    Only what a document has beyond the centre it was compared with is listed;
-    the rest is listed once, with the centre.
+    ``own`` is how many elements a document has that no other open document has,
+    at least. Only what it has beyond the centre it was compared with is listed;
+    the rest is listed once, with the centre. The other columns say how many
+    elements of that centre the document lacks, in all and by zone.
     """
     at_centre = (
         _by_centre(tried).join(open_docs.select(F.col("doc_id").alias("b")), "b", "left_semi").groupBy("b").agg(F.min("a").alias("a"))
@@ -381,16 +401,21 @@ def _elements_of_its_own(open_docs: DataFrame, tried: DataFrame, rows: DataFrame
     alone = open_docs.join(at_centre, open_docs["doc_id"] == at_centre["b"], "left_anti").select(
         F.col("doc_id").alias("a"), F.lit(None).cast("bigint").alias("b")
     )
-    listed = _shipped(at_centre.select("a", "b").union(alone), rows).mapInArrow(
-        partial(_differences, words=words), "element bigint, owner bigint"
+    listed = keep(
+        _shipped(at_centre.select("a", "b").union(alone), rows).mapInArrow(partial(_differences, words=words), _ELEMENTS_DDL)
     )
-    return (
-        listed.groupBy("element")
+    own = (
+        listed.where(F.col("element").isNotNull())
+        .groupBy("element")
         .agg(F.min("owner").alias("owner"), F.max("owner").alias("other"))
         .where("owner = other")
-        .groupBy("owner")
-        .agg(F.count(F.lit(1)).alias("own"))
+        .select("owner", F.lit(1).alias("own"))
     )
+    lacking = listed.where(F.col("element").isNull()).drop("element")
+    several = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1")
+    rest = [F.max(c).alias(c) for c in ("centre", "centre_size", "gone", "zones")]
+    found = own.unionByName(lacking, allowMissingColumns=True).groupBy("owner").agg(F.sum("own").alias("own"), *rest)
+    return found.join(several, found["owner"] == several["doc_id"], "left_anti")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -434,41 +459,58 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     index = keep(index.join(about, "doc_id").join(met_under, "key", "left_semi"))
     held = keep(rows.join(about, "doc_id", "left_semi"))
 
-    links, tried = equal, equal.limit(0)
-    for _ in range(STAR_ROUNDS):
-        open_ = keep(_still_open(index, components(links)))
-        star = (
-            open_.withColumn("_most", F.max(F.struct("meets", "doc_id", "root")).over(under))
-            .where("_most.root <> root")
-            .groupBy(F.col("doc_id").alias("a"))
-            .agg(F.max("_most").alias("_most"))
-            .select("a", F.col("_most.doc_id").alias("b"))
-        )
-        star = keep(_ordered(star).join(tried, ["a", "b"], "left_anti"))
-        tried = tried.union(star)
-        links = keep(links.union(_linked(_by_centre(star), held, words, percent)))
+    open_ = keep(_still_open(index, equal.select(F.col("a").alias("node"), F.col("b").alias("root"))))
+    star = (
+        open_.withColumn("_most", F.max(F.struct("meets", "doc_id")).over(under))
+        .where("_most.doc_id <> doc_id")
+        .groupBy(F.col("doc_id").alias("a"))
+        .agg(F.max("_most").alias("_most"))
+        .select("a", F.col("_most.doc_id").alias("b"))
+    )
+    tried = keep(_ordered(star))
+    links = keep(equal.union(_linked(_by_centre(tried), held, words, percent)))
 
     # What is not connected now is settled pair by pair, but for pairs that cannot
     # be similar: elements of their own leave the two too little in common.
     open_ = keep(_still_open(index, components(links)))
     open_docs = open_.select("doc_id").distinct()
-    own = _elements_of_its_own(open_docs, tried, held, words)
-    open_ = open_.join(own, open_["doc_id"] == own["owner"], "left").withColumn(
-        "shared", F.col("size") - F.coalesce("own", F.lit(0))
+    about = ("own", "centre", "centre_size", "gone", "zones")
+    bounds = _bounds(open_docs, tried, held, words)
+    columns = ("doc_id", "root", "size", "probes", *about)
+    open_ = keep(
+        open_.join(bounds, open_["doc_id"] == bounds["owner"], "left")
+        .withColumn("own", F.coalesce("own", F.lit(0)))
+        .select("key", *columns)
     )
-    open_ = keep(open_.select("key", "doc_id", "probes", "root", "size", "shared"))
-    columns = ("doc_id", "root", "size", "shared", "probes")
     left = open_.where("probes = 1").select("key", *(F.col(c).alias(f"{c}_a") for c in columns))
     right = open_.select("key", *(F.col(c).alias(f"{c}_b") for c in columns))
+
+    def enough(common: Column) -> Column:
+        return (100 + percent) * common >= percent * (F.col("size_a") + F.col("size_b"))
+
+    def beyond(side: str) -> Column:
+        """What a document has in common with others and not with its centre, at most."""
+        return F.col(f"size_{side}") - F.col(f"own_{side}") - F.col(f"centre_size_{side}") + F.col(f"gone_{side}")
+
+    # Of one centre, two documents together lack what either lacks in each zone.
+    lacking = sum(
+        F.greatest(*(F.shiftrightunsigned(f"zones_{side}", 4 * zone).bitwiseAND(F.lit(15)) for side in "ab"))
+        for zone in range(ZONES)
+    )
     possible = (
         (left["key"] == right["key"])
         & (F.col("root_a") != F.col("root_b"))
         & ((F.col("doc_id_a") < F.col("doc_id_b")) | (F.col("probes_b") == 0))
-        & ((100 + percent) * F.least("shared_a", "shared_b") >= percent * (F.col("size_a") + F.col("size_b")))
+        & enough(F.least(F.col("size_a") - F.col("own_a"), F.col("size_b") - F.col("own_b")))
+        & (
+            ~F.col("centre_a").eqNullSafe(F.col("centre_b"))
+            | F.col("centre_a").isNull()
+            | enough(F.col("centre_size_a") - lacking + F.least(beyond("a"), beyond("b")))
+        )
     )
     across = _ordered(left.join(right, possible).select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")))
     across = keep(across.join(tried, ["a", "b"], "left_anti"))
-    reached = components(keep(links.union(_linked(_by_centre(across), held, words, percent))))
+    reached = components(keep(links.union(_linked(across, held, words, percent))))
     return whole.join(reached, whole["doc_id"] == reached["node"], "left").select(
         "doc_id", (-1 - F.col("tag")).alias("n_shingles"), F.coalesce("root", "doc_id").alias("component_id")
     )
