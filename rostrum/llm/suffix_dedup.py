@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 from rostrum.llm.common import count_and_bytes, texts
 
 GRAM = 20
-GROUP_BYTES = 8 << 20
-CHUNK_BYTES = 1 << 20
+GROUP_BYTES = 6 << 20
+CHUNK_BYTES = 256 << 10
 # An anchor of more documents has its strings sorted one by one, each in a range
 # of its own hash, so no task holds all suffixes of a very common anchor.
 COMMON = 200_000
@@ -412,7 +412,7 @@ def _remove(table: pa.Table, messages: pa.Table, span: int, bits: int, buckets:
     if not table.num_rows:
         return _OUT.empty_table()
     group = Group(table)
-    change = np.zeros(len(group.data) + 1, np.int64)
+    change = np.zeros(len(group.data) + 1, np.int32)
     is_answer = pa.compute.is_valid(messages.column("d")) if messages.num_rows else None
     if is_answer is not None and messages.num_rows:
         found = Suffixes(group, messages.filter(pa.compute.invert(is_answer)), span, bits, buckets)
@@ -433,7 +433,7 @@ def _remove(table: pa.Table, messages: pa.Table, span: int, bits: int, buckets:
         start = found.first[who[gone]]
         np.add.at(change, start + begin[part[gone]], 1)
         np.add.at(change, start + until[gone] - 1 + span, -1)
-    removed = np.cumsum(change[:-1]) > 0
+    removed = np.cumsum(change[:-1], dtype=np.int32) > 0
     out: dict[str, list] = {name: [] for name in _OUT.names[1:]}
     for low, high in zip(group.edges[:-1].tolist(), group.edges[1:].tolist(), strict=True):
         mine = removed[low:high]
