@@ -23,9 +23,24 @@ def _or_zero(*names: str) -> list[Column]:
     return [F.coalesce(F.col(n), F.lit(0)).alias(n) for n in names]
 
 
+def _dated_speeches(m: Models) -> DataFrame:
+    return m.shared(
+        "dated_speeches",
+        lambda m: m["stg_interventions"].select("intervention_id", "depute_uid", "date_seance"),
+    )
+
+
 def _speeches_per_person(m: Models) -> DataFrame:
+    return m.shared("speeches_per_person", _count_speeches)
+
+
+def _acts_of_files(m: Models) -> DataFrame:
+    return m.shared("acts_of_files", lambda m: m["int_dossier_actes"])
+
+
+def _count_speeches(m: Models) -> DataFrame:
     return (
-        m["stg_interventions"]
+        _dated_speeches(m)
         .where(F.col("depute_uid").isNotNull())
         .groupBy("depute_uid")
         .agg(
@@ -63,7 +78,7 @@ def mart_depute_activity(m: Models) -> DataFrame:
 def _activity_by_body(m: Models, memberships: DataFrame, body: str) -> DataFrame:
     """Speeches attributed to the bodies their speaker belonged to on the day."""
     attributed = attribute_by_interval(
-        m["stg_interventions"].select("intervention_id", "depute_uid", "date_seance"),
+        _dated_speeches(m),
         memberships,
         event_id="intervention_id",
         key="depute_uid",
@@ -334,7 +349,8 @@ def mart_dossiers_enriched(m: Models) -> DataFrame:
     """Per file: its acts, documents, ballots and amendments in one row."""
     joined = m["stg_dossiers_parlementaires"].drop("nombre_actes_legislatifs")
     described = joined.columns
-    for summary in ("actes", "documents", "scrutins", "amendements"):
+    joined = joined.join(_acts_of_files(m), "dossier_uid", "left")
+    for summary in ("documents", "scrutins", "amendements"):
         joined = joined.join(m[f"int_dossier_{summary}"], "dossier_uid", "left")
     return joined.select(
         *described,
@@ -376,7 +392,7 @@ def mart_dossiers_votes_groupes(m: Models) -> DataFrame:
             weighted("abstentions").alias("volume_total_abstention"),
         )
     )
-    adopted = m["int_dossier_actes"].select("dossier_uid", "est_adopte")
+    adopted = _acts_of_files(m).select("dossier_uid", "est_adopte")
     files = m["stg_dossiers_parlementaires"].select("dossier_uid", "titre_dossier", "legislature")
     groups = m["stg_organes"].select(
         F.col("organe_uid").alias("groupe_organe_ref"),

@@ -39,10 +39,32 @@ class Models:
     which the models read as NULL; ``compact_dates=True`` reads their day.
     """
 
-    def __init__(self, raw: Mapping[str, DataFrame], *, compact_dates: bool = False) -> None:
+    def __init__(
+        self,
+        raw: Mapping[str, DataFrame],
+        *,
+        compact_dates: bool = False,
+        keep: Callable[[str, DataFrame], DataFrame] | None = None,
+    ) -> None:
         self._raw = raw
         self._built: dict[str, DataFrame] = {}
         self._compact_dates = compact_dates
+        self._keep = keep
+
+    def keeping(self, keep: Callable[[str, DataFrame], DataFrame]) -> "Models":
+        """The same models, in which ``keep`` gets what several of them share once, by name.
+
+        It returns what they then read, for example after writing it out.
+        """
+        return Models(self._raw, compact_dates=self._compact_dates, keep=keep)
+
+    def shared(self, name: str, build: Callable[["Models"], DataFrame]) -> DataFrame:
+        """A step that several models read; no model of its own."""
+        key = f"shared {name}"
+        if key not in self._built:
+            df = build(self)
+            self._built[key] = df if self._keep is None else self._keep(name, df)
+        return self._built[key]
 
     def raw(self, name: str) -> DataFrame:
         return shape(self._raw[name], name)

@@ -125,6 +125,35 @@ def test_promises_of_the_models(spark):
         quality.require_promises(m)
 
 
+def test_shared_steps_are_computed_once(spark):
+    landed = []
+
+    def land(name, df):
+        landed.append(name)
+        return df
+
+    kept = adapter.models(spark, "/root/testdata/sf0.001").keeping(land)
+    for model in MODELS.values():
+        if model.stored:
+            kept[model.name]
+    assert sorted(landed) == ["acts_of_files", "dated_speeches", "speeches_per_person"]
+
+
+def test_sorts_can_split_equal_values(spark, tmp_path):
+    spark.range(20_000).selectExpr("'x' as label", "id").write.parquet(f"{tmp_path}/t")
+    rows = spark.read.parquet(f"{tmp_path}/t")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        parts = rows.orderBy("label", "id").selectExpr("spark_partition_id() as p").distinct().count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert parts > 1
+    m = adapter.models(spark, "/root/testdata/sf0.001")
+    for name in ("int_depute_dans_partis", "int_liste_siege", "mart_depute_place_hemicycle"):
+        order = re.search(r"rangepartitioning\(([^)]*)\)", plan_of(m[name]))[1]
+        assert set(re.findall(r"(\w+)#", order)) == set(m[name].columns) - {"nom", "prenom"}
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
