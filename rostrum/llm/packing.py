@@ -9,6 +9,7 @@ logarithmic time, whatever the number of open windows.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -26,8 +27,8 @@ END_ID = 2
 # vanishing share, few enough that a task holds them easily.
 PIECES_PER_TASK = 50_000
 # Words, and parts of words, whose ids a worker keeps at hand; beyond, it starts anew.
-CACHED_WORDS = 400_000
-CACHED_PARTS = 600_000
+CACHED_WORDS = 500_000
+CACHED_PARTS = 1_000_000
 TEXTS_AT_ONCE = 1000
 
 _PIECES = pa.schema(
@@ -70,16 +71,17 @@ class WordIds:
         """The part of a word that is looked up, and the mark after it."""
         text = word.decode()
         core, mark = (text[:-1], text[-1]) if text[-1] in ".," else (text, "")
-        if core.isalpha() and max(core) < "\u0100":
+        if core.isalpha() and (core.isascii() or max(core) < "\u0100"):
             return core.lower(), mark
         return text, ""
 
     def _learn_parts(self, parts: set[str]) -> None:
         tokenize, mapped = self.tokenizer.model.tokenize, self.mapped
         for part in parts:
-            if part.isalpha() and max(part) < "\u0100":  # one word of the model, nothing to normalise
-                ids = [x.id for x in tokenize(part if part.isascii() else part.translate(mapped))]
-                self.parts[part] = np.array(ids, "<u4").tobytes()
+            plain = part.isascii()
+            if part.isalpha() and (plain or max(part) < "\u0100"):  # one word of the model, nothing to normalise
+                ids = [x.id for x in tokenize(part if plain else part.translate(mapped))]
+                self.parts[part] = struct.pack(f"<{len(ids)}I", *ids)
             else:
                 self.parts[part] = self._ids(part)
 
