@@ -16,6 +16,7 @@ import zlib
 from collections import Counter
 from dataclasses import dataclass
 from functools import partial
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ END = b""  # ends every document; never a word
 STATES = 8
 ROUNDS = 6
 OWN_CLASS = 8192  # tokens that are classes of their own
-AT_HAND = 1 << 17  # tokens whose counts travel to the tasks
+AT_HAND = 1 << 17  # tokens, about, whose counts travel to the tasks
 LOOKS = 512
 WINDOW = 1024  # training windows; a later window starts from states of its own
 SCAN = 4096  # longer documents are scored in windows side by side
@@ -37,13 +38,16 @@ FLUSH = 300_000
 TEXTS_AT_ONCE = 1000
 
 
+_DIGITS = b"0123456789"
+
+
 def tokens(text: str) -> list[bytes]:
     return [*text.encode().lower().split(), END]
 
 
 def look(token: bytes) -> int:
     """Class of a token that has none of its own: its end, its letters, how it begins."""
-    shape = (token[-1:] in (b".", b",", b"!", b"?", b";", b":")) + 2 * (not token.isascii()) + 4 * any(48 <= b <= 57 for b in token)
+    shape = (token[-1:] in (b".", b",", b"!", b"?", b";", b":")) + 2 * (not token.isascii()) + 4 * (len(token.translate(None, _DIGITS)) < len(token))
     return shape * (LOOKS // 8) + zlib.crc32(token[:2]) % (LOOKS // 8)
 
 
@@ -113,10 +117,14 @@ def _looks(batches, own: frozenset):
 
 
 def vocabulary(counts: DataFrame, own: int = OWN_CLASS, at_hand: int = AT_HAND) -> Vocabulary:
-    """The driver gets ``at_hand`` tokens and one row per look, whatever the size of the corpus."""
+    """The driver gets about ``at_hand`` tokens and one row per look, whatever the size of the corpus."""
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    # The model's vocabulary: a fixed number of tokens; the rest is joined, never dropped.
-    top = counts.orderBy(F.desc("c"), "token").limit(at_hand).collect()
+    # The tokens above a count that so many reach; the rest is joined, never dropped.
+    least = 0
+    if sums[1] > at_hand:
+        least = counts.agg(F.percentile_approx("c", 1 - at_hand / sums[1], 1_000_000)).first()[0]
+    top = sorted(counts.where(F.col("c") > least).collect(), key=lambda row: (-row["c"], bytes(row["token"])))
+    own = min(own, len(top))
     number = {bytes(row["token"]): i for i, row in enumerate(top)}
     mine = frozenset(list(number)[:own])
     looks = counts.mapInArrow(partial(_looks, own=mine), "look bigint, c bigint, d bigint").groupBy("look").agg(F.sum("c").alias("c"), F.sum("d").alias("d"))
@@ -313,20 +321,22 @@ def _score(batches, shared):
     classes = _Classes(words)
     number, counts = words.number, words.counts
     base = words.base(counts)
-    tokens_at_hand = list(number)
+    class_at_hand = np.array([words.class_of(t) for t in number], np.int32)
     share = np.zeros(len(counts))
-    if len(counts) > words.own:
-        share[words.own :] = words.share(counts[words.own :], np.array([look(t) for t in tokens_at_hand[words.own :]]))
+    share[words.own :] = words.share(counts[words.own :], class_at_hand[words.own :] - words.own)
     row = TaskContext.get().partitionId() << 33
     for batch in batches:
         sequences, known, base_sum, share_sum, sizes = [], [], [], [], []
         rare: dict[str, list] = {"row": [], "token": [], "n": [], "look": []}
         for i, text in enumerate(batch.column(2).to_pylist()):
             found = tokens(text)
-            at = [number.get(t, -1) for t in found]
-            sequences.append(np.array([classes[t] if n < 0 or n >= words.own else n for t, n in zip(found, at)], np.int32))
-            here = np.array(at)
-            missing = Counter(t for t, n in zip(found, at) if n < 0)
+            here = np.fromiter(map(number.get, found, repeat(-1)), np.int64, len(found))
+            seen = np.zeros(len(found), np.int32)
+            seen[here >= 0] = class_at_hand[here[here >= 0]]
+            elsewhere = np.flatnonzero(here < 0).tolist()
+            seen[elsewhere] = [classes[found[j]] for j in elsewhere]
+            missing = Counter(found[j] for j in elsewhere)
+            sequences.append(seen)
             here = here[here >= 0]
             sizes.append(len(found))
             known.append(len(here))
