@@ -26,24 +26,30 @@ MOST_RANGES = 1 << 16
 def weighted_terms(words: Column) -> Column:
     """``array<struct<term, weight>>`` of an array of words: hashes, and how often each occurs."""
 
-    def counted(sorted_: Column) -> Column:
-        size = F.size(sorted_)
-        ends = F.filter(
+    def named(value: Column, use) -> Column:
+        """``use`` of a value that is computed once, as a lambda variable."""
+        return F.flatten(F.transform(F.array(value), use))
+
+    def last_places(ordered: Column) -> Column:
+        size = F.size(ordered)
+        return F.filter(
             F.sequence(F.lit(1), size),
-            lambda i: (i == size) | (F.get(sorted_, i - 1) != F.get(sorted_, i)),
+            lambda i: (i == size) | (F.get(ordered, i - 1) != F.get(ordered, i)),
         )
+
+    def counted(ordered: Column, ends: Column) -> Column:
         return F.transform(
             ends,
             lambda end, nth: F.struct(
-                F.get(sorted_, end - 1).alias("term"),
+                F.get(ordered, end - 1).alias("term"),
                 (end - F.when(nth == 0, F.lit(0)).otherwise(F.get(ends, nth - 1))).alias("weight"),
             ),
         )
 
-    # A one-element array, so that the sorted hashes are computed once and then named.
-    hashed = F.array(F.sort_array(F.transform(words, lambda w: F.xxhash64(w))))
+    hashed = F.sort_array(F.transform(words, lambda w: F.xxhash64(w)))
+    found = named(hashed, lambda ordered: named(last_places(ordered), lambda ends: counted(ordered, ends)))
     empty = F.array().cast("array<struct<term:bigint,weight:int>>")
-    return F.when(F.size(words) == 0, empty).otherwise(F.flatten(F.transform(hashed, counted)))
+    return F.when(F.size(words) == 0, empty).otherwise(found)
 
 
 def words(text: Column) -> Column:
