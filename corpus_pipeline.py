@@ -32,8 +32,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences; returns the pieces of documents they consist of."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    """Token sequences in the order of the mixture; returns the pieces of documents they consist of."""
+    pieces = packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), carry=("source",))
+    return packing.pack_in_order(mixing.places(pieces, "doc_id", "start", "ids_crc32"), mixing.PLACED)
 
 
 STAGES = [

@@ -22,6 +22,7 @@ BLOCKS = 1024  # of each source
 ENTROPY = 0.98  # target: this part of the entropy of equal weights
 MOST_REPEATS = 2.0
 STEPS = 50
+PLACED = ("mix_round", "mix_place")  # the order of a mixture, from places()
 
 
 def n_tokens(text: Column) -> Column:
@@ -102,14 +103,30 @@ def plan(docs: DataFrame, target: float = ENTROPY, most: float = MOST_REPEATS) -
     )
     turn = F.floor("repeats")
     # Blocks of the last, partial round, in that round's order, while the budget lasts.
-    order = Window.partitionBy("_source").orderBy("_order", "_block")
-    budget = F.round((F.col("repeats") - turn) * F.col("source_tokens"))
-    return (
+    ordered = (
         blocks.join(figures, F.col("_source") == F.col("_of"))
+        .drop("_of")
         .withColumn("_order", hash_of("order", turn, F.col("_source"), F.col("_block")))
-        .withColumn("_so_far", F.sum("_tokens").over(order))
-        .withColumn("copies", turn + F.when(F.col("_so_far") <= budget, 1).otherwise(0))
-        .select("_source", "_block", "copies", "source_tokens", "weight", "repeats", "exponent")
+        .withColumn("_budget", (F.col("repeats") - turn) * F.col("source_tokens"))
+    )
+    order = Window.partitionBy("_source").orderBy("_order", "_block")
+    ordered = ordered.withColumn("_so_far", F.sum("_tokens").over(order))
+    again = F.col("_so_far") <= F.round("_budget")
+    return ordered.select(
+        "_source", "_block", (turn + F.when(again, 1).otherwise(0)).alias("copies"),
+        "source_tokens", "weight", "repeats", "exponent",
+    )
+
+
+def _each_time(rows: DataFrame, taken: DataFrame) -> DataFrame:
+    """``rows``, which have ``source`` and ``block``, once for each time their block is taken: with ``round`` and ``place``."""
+    return (
+        rows.join(
+            F.broadcast(taken),  # at most BLOCKS rows per source
+            (F.col("source") == F.col("_source")) & (F.col("block") == F.col("_block")),
+        )
+        .withColumn("round", F.explode(F.sequence(F.lit(0), (F.col("copies") - 1).cast("int"))))
+        .withColumn("place", hash_of("order", F.col("round"), F.col("source"), F.col("block")))
     )
 
 
@@ -122,18 +139,10 @@ def mix(docs: DataFrame, target: float = ENTROPY, most: float = MOST_REPEATS) ->
     null text counts one token; repeated rows are taken each; no documents give
     no rows.
     """
-    taken = plan(docs, target, most)
     rows = docs.select(
         F.struct("*").alias("doc"), F.coalesce("source", F.lit("")).alias("source"), block_of(F.col("doc_id")).alias("block")
     )
-    return (
-        rows.join(
-            F.broadcast(taken),  # at most BLOCKS rows per source
-            (F.col("source") == F.col("_source")) & (F.col("block") == F.col("_block")),
-        )
-        .withColumn("round", F.explode(F.sequence(F.lit(0), (F.col("copies") - 1).cast("int"))))
-        .select("doc", "round", hash_of("order", F.col("round"), F.col("source"), F.col("block")).alias("place"))
-    )
+    return _each_time(rows, plan(docs, target, most)).select("doc", "round", "place")
 
 
 def mixed_documents(docs: DataFrame, target: float = ENTROPY, most: float = MOST_REPEATS) -> DataFrame:
@@ -142,19 +151,51 @@ def mixed_documents(docs: DataFrame, target: float = ENTROPY, most: float = MOST
     return mix(docs, target, most).repartitionByRange(*order).sortWithinPartitions(*order).select("doc.*")
 
 
-def mixture(docs: DataFrame, target: float = ENTROPY, most: float = MOST_REPEATS) -> DataFrame:
-    """One row per document: how often it is taken and why.
+def places(rows: DataFrame, *key: str) -> DataFrame:
+    """Rows of a mixture, or parts of its documents, with ``mix_round`` and ``mix_place``, their order.
 
-    Columns: ``doc_id, source, n_tokens, block, copies, source_tokens, weight,
-    repeats, exponent``.
+    Rows equal in ``key``, which must tell all others apart, are the times that
+    one is taken: they get the rounds from 0 on.
     """
-    taken = plan(docs, target, most)
+    again = Window.partitionBy(*key).orderBy(F.lit(0))
+    return rows.withColumn("mix_round", F.row_number().over(again).cast("bigint") - 1).withColumn(
+        "mix_place", hash_of("order", F.col("mix_round"), F.coalesce("source", F.lit("")), block_of(F.col("doc_id")))
+    )
+
+
+def _figures(docs: DataFrame) -> DataFrame:
     return docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.coalesce("source", F.lit("")).alias("source"),
         n_tokens(F.col("text")).alias("n_tokens"),
         block_of(F.col("doc_id")).alias("block"),
-    ).join(F.broadcast(taken), (F.col("source") == taken["_source"]) & (F.col("block") == taken["_block"])).select(
+    )
+
+
+def realised(docs: DataFrame, target: float = ENTROPY, most: float = MOST_REPEATS) -> DataFrame:
+    """The mixture: one row each time a document is taken.
+
+    Columns: ``doc_id, source, n_tokens, block, round, place, copies,
+    source_tokens, weight, repeats, exponent``; round, place and doc_id give
+    the order.
+    """
+    return _each_time(_figures(docs), plan(docs, target, most)).select(
+        "doc_id", "source", "n_tokens", "block", F.col("round").cast("bigint").alias("round"), "place",
+        F.col("copies").cast("bigint").alias("copies"), "source_tokens",
+        *(F.round(c, 6).alias(c) for c in ("weight", "repeats", "exponent")),
+    )
+
+
+def mixture(docs: DataFrame, target: float = ENTROPY, most: float = MOST_REPEATS) -> DataFrame:
+    """One row per document: how often it is taken and why.
+
+    Columns: ``doc_id, source, n_tokens, block, copies, source_tokens, weight,
+    repeats, exponent``.
+    """
+    taken = plan(docs, target, most)
+    return _figures(docs).join(
+        F.broadcast(taken), (F.col("source") == taken["_source"]) & (F.col("block") == taken["_block"])
+    ).select(
         "doc_id", "source", "n_tokens", "block", F.col("copies").cast("bigint").alias("copies"), "source_tokens",
         *(F.round(c, 6).alias(c) for c in ("weight", "repeats", "exponent")),
     )

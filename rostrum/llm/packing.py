@@ -5,13 +5,17 @@ rest. The rests are packed where they fall after a hash partitioning: longest
 first, each into the open window whose remaining capacity is the least that
 still holds it. A segment tree over remaining capacities finds that window in
 logarithmic time, whatever the number of open windows.
+
+Documents that come in an order, such as a mixture, are packed by stretches of
+that order instead, each round for itself, and the windows follow it.
 """
 
 from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rostrum.llm.common import texts
+from rostrum.llm.common import keep
 
 WINDOW = 4096
 END_ID = 2
@@ -117,21 +121,23 @@ def pieces_of(ids: bytes, window: int, end_id: int) -> tuple[list[int], list[int
     return starts, [len(x) // 4 for x in cut], [zlib.crc32(x) for x in cut], n
 
 
-def _cut(batches, path: str, window: int, end_id: int):
+def _cut(batches, path: str, window: int, end_id: int, carry: Sequence[str] = ()):
     if path not in _ENCODERS:
         _ENCODERS[path] = WordIds(path)
     encoder = _ENCODERS[path]
     for batch in batches:
-        out: dict[str, list] = {name: [] for name in _PIECES.names}
+        out: dict[str, list] = {name: [] for name in (*_PIECES.names, *carry)}
         doc_ids = batch.column(0).to_pylist()
-        for doc_id, ids in zip(doc_ids, encoder.encode(batch.column(1).to_pylist()), strict=True):
+        for i, (doc_id, ids) in enumerate(zip(doc_ids, encoder.encode(batch.column(1).to_pylist()), strict=True)):
             starts, lengths, sums, n = pieces_of(ids, window, end_id)
             out["doc_id"] += [doc_id] * len(starts)
             out["start"] += starts
             out["length"] += lengths
             out["ids_crc32"] += sums
             out["doc_tokens"] += [n] * len(starts)
-        yield pa.RecordBatch.from_pydict(out, schema=_PIECES)
+            for k, name in enumerate(carry, 2):
+                out[name] += [batch.column(k)[i].as_py()] * len(starts)
+        yield pa.RecordBatch.from_pydict(out, schema=pa.schema([*_PIECES, *((name, pa.string()) for name in carry)]))
 
 
 class OpenWindows:
@@ -200,9 +206,43 @@ def _pack(batches, window: int):
     )
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
-    """``doc_id, start, length, ids_crc32, doc_tokens`` of each document's pieces."""
-    return texts(docs).mapInArrow(lambda batches: _cut(batches, tokenizer, window, end_id), _PIECES_DDL)
+def _pack_in_order(batches, window: int, order: Sequence[str]):
+    """Each value of the first of ``order`` is packed for itself; windows are numbered by their first piece."""
+    table = pa.Table.from_batches(list(batches), schema=pa.schema([*_PIECES, *((name, pa.int64()) for name in order)]))
+    if not table.num_rows:
+        return
+    table = table.sort_by([(name, "ascending") for name in (*order, "doc_id", "start", "ids_crc32")])
+    rounds = table.column(order[0]).to_numpy()  # never null
+    edges = [0, *(np.flatnonzero(np.diff(rounds)) + 1).tolist(), len(rounds)]
+    first = TaskContext.get().partitionId() << 32
+    for low, high in zip(edges, edges[1:]):
+        part = table.slice(low, high - low).select(_PIECES.names)
+        lengths = part.column("length").to_numpy()
+        longest = np.argsort(-lengths, kind="stable")
+        names, offsets = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
+        names[longest], offsets[longest] = best_fit_decreasing(lengths[longest], window)
+        _, begins, which = np.unique(names, return_index=True, return_inverse=True)
+        number = np.empty(len(begins), np.int64)
+        number[np.argsort(begins)] = np.arange(len(begins))
+        yield from (
+            part.append_column("sequence_id", pa.array(number[which] + first))
+            .append_column("offset", pa.array(offsets))
+            .to_batches()
+        )
+        first += len(begins)
+
+
+def token_pieces(
+    docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID, carry: Sequence[str] = ()
+) -> DataFrame:
+    """``doc_id, start, length, ids_crc32, doc_tokens`` of each document's pieces, and its columns ``carry`` as text."""
+    rows = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.coalesce("text", F.lit("")).alias("text"),
+        *(F.col(name).cast("string").alias(name) for name in carry),
+    )
+    ddl = ", ".join([_PIECES_DDL, *(f"{name} string" for name in carry)])
+    return rows.mapInArrow(lambda batches: _cut(batches, tokenizer, window, end_id, carry), ddl)
 
 
 def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
@@ -218,3 +258,19 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = EN
     return spread.mapInArrow(
         lambda batches: _pack(batches, window), f"{_PIECES_DDL}, sequence_id bigint, offset bigint"
     )
+
+
+def pack_in_order(pieces: DataFrame, order: Sequence[str], window: int = WINDOW) -> DataFrame:
+    """Pack ``token_pieces`` that have columns ``order`` of whole numbers, the first one a round, in that order.
+
+    A task packs a stretch of about PIECES_PER_TASK pieces, no sequence holds
+    pieces of two rounds, and ``sequence_id`` grows with the round, the stretch
+    and the first piece of a sequence. Otherwise as ``pack``.
+    """
+    pieces = keep(pieces.select(*_PIECES.names, *order))  # read once for the ranges and once to be packed
+    tasks = max(1, -(-pieces.count() // PIECES_PER_TASK))
+    spread = pieces.repartitionByRange(tasks, *order, "doc_id", "start", "ids_crc32")
+    return spread.mapInArrow(
+        partial(_pack_in_order, window=window, order=tuple(order)),
+        f"{_PIECES_DDL}, sequence_id bigint, offset bigint",
+    )

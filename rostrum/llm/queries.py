@@ -12,7 +12,7 @@ from rostrum.llm.exact_dedup import DigestIndex
 from rostrum.llm.hidden_markov import score_documents
 from rostrum.llm.jaccard_join import near_duplicates
 from rostrum.llm.licences import scan_licences
-from rostrum.llm.mixing import mixture
+from rostrum.llm.mixing import mixture, realised
 from rostrum.llm.secrets import scan_secrets
 from rostrum.llm.suffix_dedup import remove_repeats
 from rostrum.llm.toxicity import score_toxicity
@@ -63,6 +63,10 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(common.documents(spark, sf_dir))
 
 
+def op9_realised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return realised(common.documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_licences": op2_licences,
@@ -73,5 +77,6 @@ QUERIES = {
     "op7_secrets": op7_secrets,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_mixing": op9_mixing,
+    "op9_realised": op9_realised,
     "op10_pack": op10_pack,
 }

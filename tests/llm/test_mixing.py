@@ -6,8 +6,9 @@ from collections import Counter
 
 import pytest
 
+import corpus_pipeline
 from checks.compare import difference, duckdb_over
-from rostrum.llm import mixing, oracles
+from rostrum.llm import mixing, oracles, packing
 from rostrum.llm.queries import QUERIES
 from tests.llm import tricky
 
@@ -69,3 +70,46 @@ def test_query_matches_sql(spark, name):
                 "* except (source)", "if(doc_id % 3 > 0, 'src0', source) as source"
             )
             assert difference(mixing.mixture(docs), duck, oracles.SQL[name]) is None
+
+
+def test_realised_rows_are_the_mixture_in_rounds(spark):
+    docs = skewed(spark)
+    rows = mixing.realised(docs, target=1.0, most=2.5).collect()
+    assert {r.doc_id for r in rows} == set(range(3000)) and max(r.round for r in rows) > 0
+    rounds = {}
+    for r in rows:
+        rounds.setdefault(r.doc_id, []).append(r.round)
+        assert r.source == ("big" if r.doc_id % 10 < 7 else "mid" if r.doc_id % 10 < 9 else "small")
+    assert all(sorted(rounds[r.doc_id]) == list(range(r.copies)) for r in rows)
+    # Each round has an order of its own, and sources interleave in it.
+    mid = {k: [r.block for r in sorted(rows, key=lambda r: (r.place, r.block)) if r.source == "mid" and r.round == k] for k in (0, 1)}
+    both = set(mid[0]) & set(mid[1])
+    assert [b for b in mid[0] if b in both] != [b for b in mid[1] if b in both]
+    order = [r.source for r in sorted(rows, key=lambda r: (r.round, r.place, r.doc_id)) if r.round == 0]
+    assert len(set(order[:100])) == 3
+    assert mixing.realised(tricky.empty(spark)).count() == 0
+    assert {r.doc_id for r in mixing.realised(tricky.documents(spark)).collect()} == {r[0] for r in tricky.rows()}
+
+
+@pytest.mark.parametrize("pieces_per_task", [50_000, 300])
+def test_packing_keeps_the_order_of_the_mixture(spark, monkeypatch, pieces_per_task):
+    monkeypatch.setattr(packing, "PIECES_PER_TASK", pieces_per_task)
+    mixed = corpus_pipeline.mix_sources(spark, skewed(spark), "").cache()
+    rows = corpus_pipeline.pack(spark, mixed, "").collect()
+    assert Counter(r.doc_id for r in rows) == Counter(r.doc_id for r in mixed.collect())
+    # Every document has come once before any comes again, and no sequence has one twice.
+    rows.sort(key=lambda r: (r.sequence_id, r.offset))
+    assert len({r.doc_id for r in rows[:3000]}) == 3000 and len(rows) > 3300
+    assert len({(r.sequence_id, r.doc_id) for r in rows}) == len(rows)
+    ends = {}
+    for r in rows:
+        assert r.offset == ends.get(r.sequence_id, 0)
+        ends[r.sequence_id] = r.offset + r.length
+        assert ends[r.sequence_id] <= packing.WINDOW
+    if pieces_per_task == 300:  # stretches follow the places
+        place = {r.doc_id: r.place for r in mixing.realised(skewed(spark)).collect() if r.round == 0}
+        spans = {}
+        for r in rows[:3000]:
+            spans.setdefault(r.sequence_id >> 32, []).append(place[r.doc_id])
+        found = [spans[k] for k in sorted(spans)]
+        assert len(found) > 5 and all(max(a) <= min(b) for a, b in zip(found, found[1:], strict=False))
