@@ -5,7 +5,9 @@ shares as they are, 0 makes all sources equal. The exponent is bisected to meet
 target entropy or a limit on repetition. Weights are realised whole: the source
 that is repeated least is taken once, every other as often as its weight asks.
 Each time round, the blocks of a source come in an order of their own; in the
-last round blocks are taken while the budget of the source lasts.
+last round blocks are taken while the budget of the source lasts. The realised
+mixture passes over a block that no longer fits and goes on with the next; the
+counts of ``mixture`` end at the first such block, as their SQL equivalent does.
 """
 
 from __future__ import annotations
@@ -81,10 +83,44 @@ def exponent_for(tokens: Sequence[float], target: float = ENTROPY, most: float =
     return round(max(by_entropy, allowed), 9)
 
 
-def plan(docs: DataFrame, target: float = ENTROPY, most: float = MOST_REPEATS) -> DataFrame:
+def _last_round(ordered: DataFrame) -> DataFrame:
+    """``_of, _taken``: the blocks of each source's partial round, in its order.
+
+    A block that does not fit what is left is passed over. The least of those is
+    taken in the end if that comes nearer to the budget.
+    """
+
+    def step(so_far: Column, block: Column) -> Column:
+        fits = block["_tokens"] <= so_far["left"]
+        passed = F.struct(block["_tokens"].alias("_tokens"), block["_block"].alias("_block"))
+        return F.struct(
+            F.when(fits, so_far["left"] - block["_tokens"]).otherwise(so_far["left"]).alias("left"),
+            F.when(fits, F.concat(so_far["taken"], F.array(block["_block"]))).otherwise(so_far["taken"]).alias("taken"),
+            F.when(fits, so_far["passed"]).otherwise(F.least(so_far["passed"], passed)).alias("passed"),
+        )
+
+    def end(so_far: Column) -> Column:
+        nearer = 2 * so_far["left"] > so_far["passed"]["_tokens"]
+        return F.when(nearer, F.concat(so_far["taken"], F.array(so_far["passed"]["_block"]))).otherwise(so_far["taken"])
+
+    begin = F.struct(
+        F.col("_left").alias("left"),
+        F.array().cast("array<bigint>").alias("taken"),
+        F.lit(None).cast("struct<_tokens: bigint, _block: bigint>").alias("passed"),
+    )
+    # At most BLOCKS entries a source.
+    lists = ordered.groupBy(F.col("_source").alias("_of")).agg(
+        F.floor(F.first("_budget")).alias("_left"),
+        F.sort_array(F.collect_list(F.struct("_order", "_block", "_tokens"))).alias("_blocks"),
+    )
+    return lists.select("_of", F.aggregate("_blocks", begin, step, end).alias("_taken"))
+
+
+def plan(docs: DataFrame, target: float = ENTROPY, most: float = MOST_REPEATS, fill: bool = True) -> DataFrame:
     """How often each block is taken: ``_source, _block, copies`` and the figures of its source.
 
     The driver gets one row per source; blocks are a fixed number per source.
+    Without ``fill`` the last round ends at the first block that does not fit.
     """
     blocks = keep(
         docs.groupBy(F.coalesce("source", F.lit("")).alias("_source"), block_of(F.col("doc_id")).alias("_block")).agg(
@@ -109,9 +145,13 @@ def plan(docs: DataFrame, target: float = ENTROPY, most: float = MOST_REPEATS) -
         .withColumn("_order", hash_of("order", turn, F.col("_source"), F.col("_block")))
         .withColumn("_budget", (F.col("repeats") - turn) * F.col("source_tokens"))
     )
-    order = Window.partitionBy("_source").orderBy("_order", "_block")
-    ordered = ordered.withColumn("_so_far", F.sum("_tokens").over(order))
-    again = F.col("_so_far") <= F.round("_budget")
+    if fill:
+        ordered = ordered.join(_last_round(ordered), F.col("_source") == F.col("_of"))
+        again = F.array_contains("_taken", F.col("_block"))
+    else:
+        order = Window.partitionBy("_source").orderBy("_order", "_block")
+        ordered = ordered.withColumn("_so_far", F.sum("_tokens").over(order))
+        again = F.col("_so_far") <= F.round("_budget")
     return ordered.select(
         "_source", "_block", (turn + F.when(again, 1).otherwise(0)).alias("copies"),
         "source_tokens", "weight", "repeats", "exponent",
@@ -187,12 +227,12 @@ def realised(docs: DataFrame, target: float = ENTROPY, most: float = MOST_REPEAT
 
 
 def mixture(docs: DataFrame, target: float = ENTROPY, most: float = MOST_REPEATS) -> DataFrame:
-    """One row per document: how often it is taken and why.
+    """One row per document: how often it is taken and why, by the rule of the SQL equivalent.
 
     Columns: ``doc_id, source, n_tokens, block, copies, source_tokens, weight,
     repeats, exponent``.
     """
-    taken = plan(docs, target, most)
+    taken = plan(docs, target, most, fill=False)
     return _figures(docs).join(
         F.broadcast(taken), (F.col("source") == taken["_source"]) & (F.col("block") == taken["_block"])
     ).select(

@@ -113,3 +113,35 @@ def test_packing_keeps_the_order_of_the_mixture(spark, monkeypatch, pieces_per_t
             spans.setdefault(r.sequence_id >> 32, []).append(place[r.doc_id])
         found = [spans[k] for k in sorted(spans)]
         assert len(found) > 5 and all(max(a) <= min(b) for a, b in zip(found, found[1:], strict=False))
+
+
+@pytest.mark.parametrize(("dominant", "short"), [(4000, 800), (9000, 400), (15000, 300), (6000, 0)])
+def test_weights_are_met_with_one_dominant_document(spark, dominant, short):
+    words = spark.range(short + 1).selectExpr(
+        "if(id = 0, -1, id) as doc_id", f"repeat('word ', if(id = 0, {dominant - 1}, 9)) as text", "'small' as source"
+    )
+    docs = words.unionByName(spark.range(1000, 4000).selectExpr("id as doc_id", "repeat('word ', 9) as text", "'big' as source"))
+    own = {"big": 30000.0, "small": float(dominant + 10 * short)}
+    for most in (1.3, 1.6, 1.9):
+        taken = mixing.realised(docs, target=1.0, most=most).collect()
+        x = mixing.exponent_for(list(own.values()), 1.0, most)
+        for source, want in zip(own, mixing.repeats(list(own.values()), x), strict=True):
+            extra = sum(r.n_tokens for r in taken if r.source == source and r.round == int(want))
+            budget = (want - int(want)) * own[source]
+            again = {r.block for r in taken if r.source == source and r.round == int(want)}
+            left_out = {}
+            for r in taken:
+                if r.source == source and r.round == 0 and r.block not in again:
+                    left_out[r.block] = left_out.get(r.block, 0) + r.n_tokens
+            # Within half of the least block left out, or by half of one taken beyond.
+            assert budget - extra <= min(left_out.values(), default=0) / 2 + 1
+            assert extra - budget <= dominant / 2 + 1
+            if short >= 400:
+                assert abs(extra - budget) <= 0.01 * own[source] or dominant > budget
+
+
+def test_last_round_passes_over_a_block_that_does_not_fit(spark):
+    rows = [("s", 1, 10, 6, 50.0), ("s", 2, 20, 900, 50.0), ("s", 3, 30, 40, 50.0), ("s", 4, 40, 5, 50.0), ("one", 7, 1, 100, 60.0), ("two", 7, 1, 100, 40.0)]
+    ordered = spark.createDataFrame(rows, "_source string, _block bigint, _order bigint, _tokens bigint, _budget double")
+    found = {r["_of"]: r["_taken"] for r in mixing._last_round(ordered).collect()}
+    assert found == {"s": [1, 3, 4], "one": [7], "two": []}
