@@ -68,4 +68,54 @@ SQL = {
             source_tokens, round(weight, 6) as weight, round(repeats, 6) as repeats, round(x, 6) as exponent
         from docs join ordered using (source, block)
     """,
+    "op13_collocations": r"""
+        with pieces as (
+            select coalesce(lang, 'und') as lang, unnest(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\x0A-\x0D]')) as piece
+            from documents
+        ),
+        word_lists as (
+            select lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') as ws from pieces
+        ),
+        sizes as (select lang, sum(len(ws))::bigint as n from word_lists group by lang),
+        phrases as (
+            select lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i : i + k - 1], ' '))) as phrase
+            from word_lists, (values (1), (2), (3), (4)) ks(k)
+            where len(ws) >= k
+        ),
+        frequent as (select lang, k, phrase, count(*) as a from phrases group by all having count(*) >= 30),
+        candidates as (select *, string_split(phrase, ' ') as ws from frequent where k > 1),
+        cuts as (
+            select lang, phrase, c.k, a, ws, cut, array_to_string(ws[1:cut], ' ') as head, array_to_string(ws[cut + 1:], ' ') as tail
+            from candidates c, (values (1), (2), (3)) cuts(cut)
+            where cut < c.k
+        ),
+        scored as (
+            select c.lang, c.phrase, c.a, cut, h.a as l, t.a as r,
+                (2000000::hugeint * c.a // (h.a + t.a))::bigint as score
+            from cuts c
+            join frequent h on h.lang = c.lang and h.phrase = c.head
+            join frequent t on t.lang = c.lang and t.phrase = c.tail
+        ),
+        lowest as (
+            select * from scored qualify row_number() over (partition by lang, phrase order by score, cut) = 1
+        ),
+        inner_phrases as (
+            select distinct lang, a, array_to_string(ws[i : i + size - 1], ' ') as phrase
+            from candidates, (values (2), (3)) sizes(size), (values (1), (2), (3)) starts(i)
+            where size < k and i + size - 1 <= k
+        ),
+        free as (
+            select * from lowest w
+            where not exists (
+                select 1 from inner_phrases p
+                where p.lang = w.lang and p.phrase = w.phrase and 100 * p.a >= 80 * w.a
+            )
+        ),
+        ranked as (
+            select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from free
+        )
+        select lang, rank, phrase, a, l, r, n, score from ranked join sizes using (lang) where rank <= 2000
+    """,
 }

@@ -8,12 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from rostrum.llm import common, packing
+from rostrum.llm.collocations import collocations
 from rostrum.llm.exact_dedup import DigestIndex
 from rostrum.llm.hidden_markov import score_documents
 from rostrum.llm.jaccard_join import near_duplicates
 from rostrum.llm.licences import scan_licences
 from rostrum.llm.mixing import mixture, realised
+from rostrum.llm.periodic import periodic_runs
 from rostrum.llm.secrets import scan_secrets
+from rostrum.llm.simhash import near_duplicates as near_by_simhash
 from rostrum.llm.suffix_dedup import remove_repeats
 from rostrum.llm.toxicity import score_toxicity
 from rostrum.llm.weighted_sampling import fingerprints
@@ -67,6 +70,18 @@ def op9_realised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return realised(common.documents(spark, sf_dir))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs(common.documents(spark, sf_dir))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_by_simhash(common.documents(spark, sf_dir))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(common.documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_licences": op2_licences,
@@ -79,4 +94,7 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op9_realised": op9_realised,
     "op10_pack": op10_pack,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_simhash": op12_simhash,
+    "op13_collocations": op13_collocations,
 }

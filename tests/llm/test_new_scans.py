@@ -1,0 +1,277 @@
+"""Periodic runs, SimHash components and collocations against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import Counter
+from fractions import Fraction
+from itertools import combinations
+from zlib import crc32
+
+import duckdb
+import numpy as np
+import pytest
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from rostrum.llm import collocations, periodic, simhash
+from rostrum.llm.oracles import SQL
+from tests.llm import tricky
+
+# --- periodic runs
+
+
+def plain_runs(words):
+    """Every maximal stretch of every period, kept where no smaller period holds."""
+    found, n = [], len(words)
+    numbers = {w: i for i, w in enumerate(dict.fromkeys(words))}
+    ids = np.array([numbers[w] for w in words])
+    for period in range(1, n // 4 + 1):
+        equal = np.concatenate([[False], ids[period:] == ids[:-period], [False]])
+        changes = np.flatnonzero(equal[1:] != equal[:-1])
+        for start, end in zip(changes[::2].tolist(), changes[1::2].tolist()):
+            length = end - start + period
+            if length >= max(6, 4 * period):
+                part = words[start : start + length]
+                if all(part[q:] != part[: length - q] for q in range(1, period)):
+                    found.append((start, length, period))
+    return sorted(found)
+
+
+def plain_row(doc_id, text):
+    words = (text or "").encode().split()
+    n = len(words)
+    if doc_id is not None and n and crc32(str(doc_id).encode()) % 10 == 0:
+        g = crc32(str(doc_id).encode()) // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    found = plain_runs(words)
+    gone = {i for s, length, q in found for i in range(s + q, s + length)}
+    best = max(found, key=lambda r: (Fraction(r[1], r[2]), -r[0], -r[2])) if found else (None,) * 3
+    digest = lambda b: hashlib.sha256(b).hexdigest()
+    return (
+        *(doc_id, len(found), *best, 1000 * best[1] // best[2] if found else None),
+        digest("".join(f"{s},{length},{q}\n" for s, length, q in found).encode()),
+        digest(b" ".join(w for i, w in enumerate(words) if i not in gone)),
+    )
+
+
+RUN_COLUMNS = (
+    *("doc_id", "n_runs", "start", "length", "period", "exponent_milli"),
+    *("runs_sha256", "collapsed_sha256"),
+)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.integers(0, 2), max_size=60), st.integers(1, 12), st.integers(1, 6))
+def test_runs_of_small_alphabets(words, period, times):
+    words = words + words[:period] * times + words[::-1]
+    assert periodic.runs(np.array(words, np.int64)) == plain_runs(words)
+
+
+def test_runs_in_classes_of_several_parts(monkeypatch):
+    monkeypatch.setattr(periodic, "PART", 2)
+    rng = random.Random(3)
+    for _ in range(60):
+        words = [rng.randrange(2) for _ in range(rng.randrange(5, 30))] * rng.randrange(1, 9)
+        assert periodic.runs(np.array(words, np.int64)) == plain_runs(words)
+
+
+def test_one_word_repeated_through_a_very_long_text():
+    assert periodic.runs(np.zeros(200_000, np.int64)) == [(0, 200_000, 1)]
+
+
+def test_periodic_rows(spark):
+    expected = sorted((plain_row(i, t) for i, t, *_ in tricky.rows()), key=repr)
+    assert tricky.by_id(periodic.periodic_runs(tricky.documents(spark)), *RUN_COLUMNS) == expected
+    assert periodic.periodic_runs(tricky.empty(spark)).count() == 0
+
+
+def test_periodic_rows_of_many_ids(spark):
+    rng = random.Random(5)
+    rows = []
+    for i in range(400):
+        body = [rng.choice(["a", "b", "c", "d", "éé"]) for _ in range(rng.randrange(120))]
+        rows.append((i, rng.choice([" ", "\n", " \t"]).join(body), None, None, None))
+    found = periodic.periodic_runs(spark.createDataFrame(rows, tricky.SCHEMA))
+    assert tricky.by_id(found, *RUN_COLUMNS) == sorted((plain_row(i, t) for i, t, *_ in rows), key=repr)
+
+
+# --- SimHash
+
+
+def plain_fingerprint(text):
+    words = (text or "").encode().lower().split()
+    if not words:
+        return 0
+    shingles = [b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_roots(values):
+    root = {v: v for v in values}
+
+    def top(v):
+        while root[v] != v:
+            v = root[v]
+        return v
+
+    for a, b in combinations(values, 2):
+        if (a ^ b).bit_count() <= 3:
+            root[top(a)] = top(b)
+    return {v: top(v) for v in values}
+
+
+def check_simhash(spark, rows, frame):
+    prints = [(i, plain_fingerprint(t)) for i, t in rows]
+    roots = plain_roots({p for _, p in prints})
+    least = {}
+    for i, p in prints:
+        if i is not None:
+            least[roots[p]] = min(least.get(roots[p], i), i)
+    expected = sorted(((i, f"{p:016x}", least.get(roots[p])) for i, p in prints), key=repr)
+    assert tricky.by_id(simhash.near_duplicates(frame), "doc_id", "fingerprint", "component_id") == expected
+
+
+def test_simhash_of_tricky_rows(spark):
+    check_simhash(spark, [(i, t) for i, t, *_ in tricky.rows()], tricky.documents(spark))
+    assert simhash.near_duplicates(tricky.empty(spark)).count() == 0
+
+
+def test_simhash_of_edited_copies(spark):
+    rng = random.Random(7)
+    rows = []
+    for family in range(12):
+        words = [f"w{rng.randrange(4000)}" for _ in range(150)]
+        for _ in range(25):
+            copy = list(words)
+            for _ in range(rng.randrange(4)):
+                copy[rng.randrange(len(copy))] = f"v{rng.randrange(99)}"
+            rows.append((len(rows), " ".join(copy), None, None, None))
+    check_simhash(spark, [r[:2] for r in rows], spark.createDataFrame(rows, tricky.SCHEMA))
+
+
+@pytest.mark.parametrize("at_once", [0, 4, 256])
+def test_links_are_all_pairs_within_the_distance(spark, monkeypatch, at_once):
+    """Also where every meeting is looked up by quarters, and in the sign bit."""
+    monkeypatch.setattr(simhash, "PAIRS_AT_ONCE", at_once)
+    rng = random.Random(11)
+    values = {0, 1, 3, 7, 15, 1 << 63, (1 << 63) | 7, (1 << 64) - 1}
+    for _ in range(6):
+        centre = rng.getrandbits(64)
+        for _ in range(40):
+            value = centre
+            for bit in rng.sample(range(64), rng.randrange(5)):
+                value ^= 1 << bit
+            values.add(value)
+    signed = {v: int(np.uint64(v).view(np.int64)) for v in values}
+    frame = spark.createDataFrame([(v,) for v in signed.values()], "bits long")
+    expected = sorted(
+        tuple(sorted((signed[a], signed[b]), reverse=True))
+        for a, b in combinations(values, 2)
+        if (a ^ b).bit_count() <= 3
+    )
+    assert sorted(map(tuple, simhash.links(frame).collect())) == expected
+
+
+# --- collocations
+
+
+def plain_pieces(text):
+    for mark in ".,;:!?\n\x0b\x0c\r":
+        text = text.replace(mark, "\0")
+    lower = text.encode().lower().decode()
+    return [[w for w in p.replace("\t", " ").split(" ") if w] for p in lower.split("\0")]
+
+
+def plain_collocations(rows):
+    counts, sizes = {}, Counter()
+    for lang, text in rows:
+        lang = lang or "und"
+        for piece in plain_pieces(text or ""):
+            sizes[lang] += len(piece)
+            for k in range(1, 5):
+                for i in range(len(piece) - k + 1):
+                    counts.setdefault(lang, Counter())[tuple(piece[i : i + k])] += 1
+    found = []
+    for lang, f in counts.items():
+        candidates = {p: a for p, a in f.items() if len(p) > 1 and a >= 30}
+        inner = {}
+        for p, a in candidates.items():
+            for size in range(2, len(p)):
+                for i in range(len(p) - size + 1):
+                    part = p[i : i + size]
+                    inner[part] = max(inner.get(part, 0), a)
+        ranked = []
+        for p, a in candidates.items():
+            if 100 * inner.get(p, 0) >= 80 * a:
+                continue
+            cuts = [(2000000 * a // (f[p[:k]] + f[p[k:]]), k) for k in range(1, len(p))]
+            score, k = min(cuts)
+            ranked.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(ranked)[:2000], 1):
+            found.append((lang, rank, phrase.decode(), -a, left, right, sizes[lang], -score))
+    return sorted(found, key=repr)
+
+
+COLUMNS = ("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def phrase_rows():
+    rng = random.Random(13)
+    vocabulary = ["The", "of", "a", "état", "x-y", "Big", "data", "deep", "learning", "1", "z"]
+    rows = list(tricky.rows())
+    for i in range(300):
+        words = [rng.choice(vocabulary) for _ in range(rng.randrange(150))]
+        words.insert(rng.randrange(len(words) + 1), "deep learning of big data")
+        body = "".join(w + rng.choice([" ", " ", " ", "\t", ". ", ",", "\n", "\r", " !? "]) for w in words)
+        rows.append((1000 + i // 3, body, rng.choice(["en", "en", "de", None, "und"]), None, None))
+    return rows
+
+
+@pytest.mark.parametrize(("trigger", "at_once"), [(32, 16 << 20), (2, 1)])
+def test_collocations(spark, monkeypatch, trigger, at_once):
+    monkeypatch.setattr(collocations, "TRIGGER", trigger)
+    rows = phrase_rows()
+    frame = spark.createDataFrame(rows, tricky.SCHEMA).repartition(3)
+    expected = plain_collocations([(r[2], r[1]) for r in rows])
+    assert len(expected) > 30
+    assert tricky.by_id(collocations.collocations(frame), *COLUMNS) == expected
+    assert {r[0] for r in expected} == {"en", "de", "und"}
+    with duckdb.connect() as duck:
+        documents = frame.toPandas()  # noqa: F841
+        assert sorted(duck.sql(SQL["op13_collocations"]).fetchall(), key=repr) == expected
+
+
+def test_collocations_of_no_documents(spark):
+    assert collocations.collocations(tricky.empty(spark)).count() == 0
+
+
+def test_more_than_the_top_are_ranked_across_parts(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "TOP", 5)
+    rows = phrase_rows()
+    frame = spark.createDataFrame(rows, tricky.SCHEMA)
+    expected = [r for r in plain_collocations([(r[2], r[1]) for r in rows]) if r[1] <= 5]
+    assert tricky.by_id(collocations.collocations(frame), *COLUMNS) == expected
+
+
+def test_a_chunk_is_cut_by_its_own_words_only():
+    rng = random.Random(17)
+    words = [f"w{rng.randrange(500)}".encode() for _ in range(400)]
+    cuts = set(collocations.chunk_starts(words))
+    moved = {s - 7 for s in collocations.chunk_starts([b"x"] * 7 + words)}
+    assert {s for s in cuts if s > 0} == {s for s in moved if s > 0}
+    assert len(cuts) > 5
+
+
+def test_a_full_filter_changes_no_result(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "MOST_BITS", 64)
+    rows = phrase_rows()
+    frame = spark.createDataFrame(rows, tricky.SCHEMA)
+    assert tricky.by_id(collocations.collocations(frame), *COLUMNS) == plain_collocations(
+        [(r[2], r[1]) for r in rows]
+    )
