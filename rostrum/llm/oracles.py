@@ -76,13 +76,20 @@ SQL = {
             from documents
         ),
         word_lists as (
-            select lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') as ws from pieces
+            select row_number() over () as id, lang,
+                list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') as ws
+            from pieces
+        ),
+        words as (select id, lang, generate_subscripts(ws, 1) as i, unnest(ws) as w from word_lists),
+        sizes as (select lang, count(*) as n from words group by lang),
+        following as (
+            select lang, w as w1, lead(w, 1) over piece as w2, lead(w, 2) over piece as w3, lead(w, 3) over piece as w4
+            from words window piece as (partition by id order by i)
         ),
-        sizes as (select lang, sum(len(ws))::bigint as n from word_lists group by lang),
         phrases as (
-            select lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i : i + k - 1], ' '))) as phrase
-            from word_lists, (values (1), (2), (3), (4)) ks(k)
-            where len(ws) >= k
+            select lang, k, [w1, w1 || ' ' || w2, w1 || ' ' || w2 || ' ' || w3, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4][k] as phrase
+            from following, (values (1), (2), (3), (4)) ks(k)
+            where phrase is not null
         ),
         frequent as (select lang, k, phrase, count(*) as a from phrases group by all having count(*) >= 30),
         candidates as (select *, string_split(phrase, ' ') as ws from frequent where k > 1),
