@@ -28,15 +28,18 @@ WINDOW = 20
 # Bits per character that the best window of a candidate must reach, by the
 # characters it is made of: random strings of the class pass, words do not.
 BITS = {"hex": 2.9, "alphanumeric": 3.6, "base64": 3.7}
-# Never secrets: identifiers in dashed form, paths, words without digits,
-# counted-up and filler strings.
+# Never secrets: identifiers in dashed form, words without digits, counted-up
+# and filler strings; paths as well. Java matches a repeated group of varying
+# length by recursion, which a long candidate would exhaust the stack with, so no
+# expression here repeats one without a bound.
 ALLOWED = (
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
     r"^[A-Za-z_=/+-]+$",
     r"^[0-9_=/+-]+$",
     r"(?i)example|sample|placeholder|0123456789|abcdefghij|xxxxxx",
-    r"^/?([a-z0-9_.-]+/){2,}[a-z0-9_.-]*$",
 )
+# All characters of candidates; counts are kept by place in this string.
+_CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 
 
 def _lengths_before(pieces: Column, matches: Column) -> Column:
@@ -73,44 +76,87 @@ def places(text: Column, pattern: str, group: int) -> Column:
     return F.when(F.regexp_like(text, F.lit(pattern)), zipped).otherwise(F.array().cast(shape))
 
 
-def _term(count: Column) -> Column:
-    """n log2 n, 0 for none."""
-    return F.when(count > 1, count * F.log2(count)).otherwise(F.lit(0.0))
+def _blanked(text: Column, pattern: str, group: int, least: int) -> Column:
+    """The text with the matches of an expression that are long enough turned into spaces."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+    parts = F.arrays_zip(
+        F.split(text, pattern, -1).alias("piece"), found.alias("found"), value.alias("value")
+    )
+    match = lambda x: F.when(
+        F.length(x["value"]) >= least, F.repeat(F.lit(" "), F.length(x["found"]))
+    ).otherwise(F.coalesce(x["found"], F.lit("")))
+    joined = F.array_join(F.transform(parts, lambda x: F.concat(x["piece"], match(x))), "")
+    return F.when(F.regexp_like(text, F.lit(pattern)), joined).otherwise(text)
 
 
 def best_window_bits(text: Column, window: int = WINDOW) -> Column:
     """The greatest Shannon entropy, in bits per character, of ``window`` characters in a row.
 
-    The sum of n log2 n over character counts is carried from window to window:
-    a step touches the character that leaves and the one that enters only.
+    The counts of characters and their sum of n log2 n are carried from window to
+    window: a step takes one from the count of the character that leaves and adds
+    one to that of the character that enters. Characters must be in ``_CHARS``.
     """
-    def times(piece: Column, char: Column) -> Column:
-        return F.length(piece) - F.length(F.replace(piece, char, F.lit("")))
-
-    def step(state: Column, at: Column) -> Column:
-        leaves, enters = F.substring(text, at - 1, 1), F.substring(text, at + (window - 1), 1)
-        stays = F.substring(text, at, window - 1)
-        out, into = times(stays, leaves), times(stays, enters)
-        total = state["sum"] + (_term(out) - _term(out + 1)) + (_term(into + 1) - _term(into))
-        return F.struct(total.alias("sum"), F.least(state["least"], total).alias("least"))
-
-    first = F.substring(text, 1, window)
-    start = F.aggregate(
-        F.array_distinct(F.split(first, "")),
-        F.lit(0.0),
-        lambda total, char: total + F.when(char == "", F.lit(0.0)).otherwise(_term(times(first, char))),
-    )
-    moves = F.when(
-        F.length(text) > window, F.sequence(F.lit(2), F.length(text) - (window - 1))
-    ).otherwise(F.array().cast("array<int>"))
-    least = F.aggregate(moves, F.struct(start.alias("sum"), start.alias("least")), step, lambda s: s["least"])
+    terms = F.array(*(F.lit(n * math.log2(n) if n else 0.0) for n in range(window + 1)))
+    many = len(_CHARS)
+
+    def put(counts: Column, place: Column, n: Column) -> Column:
+        return F.concat(
+            F.slice(counts, F.lit(1), place), F.array(n), F.slice(counts, place + 2, F.lit(many))
+        )
+
+    def enter(state: Column, place: Column) -> Column:
+        n = state["counts"][place]
+        total = state["sum"] + terms[n + 1] - terms[n]
+        return F.struct(put(state["counts"], place, n + 1).alias("counts"), total.alias("sum"))
+
+    def best(places: Column) -> Column:
+        def step(state: Column, at: Column) -> Column:
+            out, into = places[at], places[at + window]
+            n = state["counts"][out]
+            m = state["counts"][into]
+            total = state["sum"] + terms[n - 1] - terms[n] + terms[m + 1] - terms[m]
+            counts = put(put(state["counts"], out, n - 1), into, m + 1)
+            moved = F.struct(
+                counts.alias("counts"), total.alias("sum"), F.least(state["least"], total).alias("least")
+            )
+            return F.when(out == into, state).otherwise(moved)
+
+        none = F.struct(F.array_repeat(F.lit(0), many).alias("counts"), F.lit(0.0).alias("sum"))
+        start = F.aggregate(
+            F.slice(places, 1, window),
+            none,
+            enter,
+            lambda s: F.struct(s["counts"].alias("counts"), s["sum"].alias("sum"), s["sum"].alias("least")),
+        )
+        moves = F.when(
+            F.size(places) > window, F.sequence(F.lit(0), F.size(places) - (window + 1))
+        ).otherwise(F.array().cast("array<int>"))
+        return F.aggregate(moves, start, step, lambda s: s["least"])
+
+    places = F.transform(F.split(text, ""), lambda c: F.instr(F.lit(_CHARS), c) - 1)
+    # Inside a function of one element the places are computed once, not once a step.
+    least = F.element_at(F.transform(F.array(places), best), 1)
     return F.lit(math.log2(window)) - least / window
 
 
+def _is_path(value: Column) -> Column:
+    """Two names or more, each followed by a slash, in lower case."""
+    slashes = F.length(value) - F.length(F.replace(value, F.lit("/"), F.lit("")))
+    lead = F.startswith(value, F.lit("/")).cast("int")
+    return value.rlike("^[a-z0-9_./-]+$") & ~F.contains(value, F.lit("//")) & (slashes - lead >= 2)
+
+
 def _is_secret(value: Column) -> Column:
-    allowed = F.lit(False)
+    """Random enough, and neither a path nor allowed for what stands behind the last ``=``.
+
+    What stands before it is a name, which says nothing about the value; ``=`` at
+    the very end is padding.
+    """
+    behind = F.regexp_extract(value, "([^=]*=*)$", 1)
+    allowed = _is_path(value)
     for pattern in ALLOWED:
-        allowed = allowed | value.rlike(pattern)
+        allowed = allowed | behind.rlike(pattern)
     needed = (
         F.when(value.rlike("^[0-9a-f]+$|^[0-9A-F]+$"), F.lit(BITS["hex"]))
         .when(value.rlike("^[A-Za-z0-9]+$"), F.lit(BITS["alphanumeric"]))
@@ -145,25 +191,21 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
 
     ``spans`` is ``kind:start:end``, comma-joined, by start and then kind; the
     kind ``entropy`` is a candidate string whose best window is as random as its
-    character class allows and that is not on the allow-list. It is left out
-    where a base span already holds the whole of it or lies in it. A null or
+    character class allows and that is not on the allow-list. Candidates are
+    looked for in what base spans leave of the text: a string that one of them
+    covers in part is cut there, and the rest is judged by itself. A null or
     empty text has none. Repeated rows give repeated results; a null id stays.
     """
-    rows = texts(docs)
+    rows = texts(docs).withColumn("left", F.col("text"))
     for kind, (pattern, group, least) in BASE.items():
         found = places(F.col("text"), pattern, group)
         rows = rows.withColumn(kind, F.filter(found, _long_enough(least)))
+        rows = rows.withColumn("left", _blanked(F.col("left"), pattern, group, least))
     rows = rows.withColumn(
-        "entropy", F.filter(places(F.col("text"), CANDIDATE, 0), lambda x: _is_secret(x["value"]))
+        "entropy", F.filter(places(F.col("left"), CANDIDATE, 0), lambda x: _is_secret(x["value"]))
     )
     rows = rows.withColumn("base", F.concat(*(_labelled(F.col(k), k) for k in BASE)))
-    rows = rows.withColumn(
-        "more",
-        F.filter(
-            _labelled(F.col("entropy"), "entropy"),
-            lambda x: ~F.exists("base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])),
-        ),
-    )
+    rows = rows.withColumn("more", _labelled(F.col("entropy"), "entropy"))
     return rows.select(
         "doc_id",
         *(F.size(kind).cast("bigint").alias(f"n_{kind}") for kind in BASE),
