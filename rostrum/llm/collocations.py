@@ -7,9 +7,12 @@ kept once with the number of their occurrences. Phrases are counted inside
 distinct chunks, times that number; a phrase that starts in the shared window is
 left to the chunk after it, so each occurrence counts once.
 
-Longer phrases are counted only where both phrases of one word less may be
-frequent. A bitmap of bounded size tells which; a false hit costs a count that
-is dropped later, so results are exact at every size.
+No phrase is frequent that holds a word which is not, so once words are counted
+chunks fall into stretches of frequent words, which are folded again: a second,
+much smaller dictionary. Longer phrases are counted in it, and only where both
+phrases of one word less may be frequent. Bitmaps of bounded size tell which
+words and phrases may be; a false hit costs a count that is dropped later, so
+results are exact at every size.
 """
 
 from __future__ import annotations
@@ -40,7 +43,7 @@ TOP = 2000
 # Parts that the candidates of a language are ranked in before they meet.
 PARTS = 64
 # Bytes of chunks whose phrases are counted together in a task.
-AT_ONCE = 16 << 20
+AT_ONCE = 6 << 20
 # Bits per frequent phrase, and at most, of the bitmap that tasks get.
 BITS_EACH = 16
 MOST_BITS = 1 << 27
@@ -51,8 +54,9 @@ _BREAKS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", _BREAK * 10)
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 _CHUNK = pa.schema(
-    [("lang", pa.string()), ("chunk", pa.binary()), ("last", pa.bool_()), ("n", pa.int64())]
+    [("lang", pa.string()), ("chunk", pa.binary()), ("own", pa.int32()), ("n", pa.int64())]
 )
+_CHUNK_DDL = "lang string, chunk binary, own int, n long"
 _COUNT = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64())])
 
 
@@ -85,23 +89,32 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             starts = chunk_starts(found)
             for at, following in zip(starts, starts[1:]):
-                seen[lang, b" ".join(found[at : following + OVERLAP]), False] += 1
-            seen[lang, b" ".join(found[starts[-1] :]), True] += 1
+                seen[lang, b" ".join(found[at : following + OVERLAP]), following - at] += 1
+            seen[lang, b" ".join(found[starts[-1] :]), len(found) - starts[-1]] += 1
         if seen:
-            keys = zip(*seen)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(k, f.type) for k, f in zip([*keys, seen.values()], _CHUNK)], schema=_CHUNK
-            )
+            yield _chunk_batch(seen)
+
+
+def _chunk_batch(seen: Counter) -> pa.RecordBatch:
+    columns = zip([*zip(*seen), seen.values()], _CHUNK)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in columns], schema=_CHUNK)
+
+
+def _folded(chunks: DataFrame) -> DataFrame:
+    return chunks.groupBy("lang", "chunk", "own").agg(F.sum("n").alias("n"))
 
 
 def dictionary(docs: DataFrame) -> DataFrame:
-    """``lang, chunk, last, n``: the distinct chunks of all whole texts and how often each occurs."""
+    """``lang, chunk, own, n``: the distinct chunks of all whole texts and how often each occurs.
+
+    Phrases that start at one of the first ``own`` tokens are the chunk's; the
+    others belong to the chunk after it.
+    """
     rows = docs.select(
         F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
     )
-    parsed = rows.mapInArrow(_parse, "lang string, chunk binary, last boolean, n long")
-    return parsed.groupBy("lang", "chunk", "last").agg(F.sum("n").alias("n"))
+    return _folded(rows.mapInArrow(_parse, _CHUNK_DDL))
 
 
 def _word_hash(word: bytes) -> int:
@@ -179,75 +192,117 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _count_block(block: pa.Table, length: int, known: Filter | None) -> pa.RecordBatch | None:
-    chunks = [chunk.split(b" ") for chunk in block["chunk"].to_pylist()]
-    sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
-    total = int(sizes.sum())
-    if total < length:
-        return None
-    numbers = _Numbers()
-    ids = np.fromiter((numbers[w] for chunk in chunks for w in chunk), np.int64, total)
-    del chunks
-    ends = np.cumsum(sizes)
-    place = np.repeat(np.arange(len(sizes)), sizes)
-    # The first word of a phrase lies before the window shared with the next chunk.
-    owned = ends - np.where(block["last"].to_numpy(zero_copy_only=False), 0, OVERLAP)
-    here = np.arange(total)
-    fits = (here < owned[place]) & (here + length <= ends[place])
-    is_break = ids == numbers.get(_BREAK, -1)
-    starts = here[fits]
-    for k in range(length):
-        starts = starts[~is_break[starts + k]]
-    encoded = block["lang"].combine_chunks().dictionary_encode()
-    lang_names = encoded.dictionary.to_pylist()
-    lang = encoded.indices.to_numpy()[place[starts]].astype(np.int64)
-    words = list(numbers)
-    if known is not None:
-        hashes, seeds = _hashes(words), _hashes(x.encode() for x in lang_names)
-        for shift in (0, 1):
-            columns = [hashes[ids[starts + shift + k]] for k in range(length - 1)]
-            passes = known(_phrase_hash(seeds[lang], columns))
-            starts, lang = starts[passes], lang[passes]
-    if not len(starts):
-        return None
-    key = lang
-    for k in range(length):
-        key = np.unique(key * len(words) + ids[starts + k], return_inverse=True)[1].astype(np.int64)
-    order = np.argsort(key, kind="stable")
-    first = np.flatnonzero(np.diff(key[order], prepend=-1))
-    weights = block["n"].to_numpy()[place[starts[order]]]
-    counts = np.add.reduceat(weights, first)
-    chosen = order[first]
-    phrases = [
-        b" ".join([words[i] for i in row])
-        for row in np.stack([ids[starts[chosen] + k] for k in range(length)], axis=1).tolist()
-    ]
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([lang_names[i] for i in lang[chosen].tolist()], pa.string()),
-            pa.array(phrases, pa.binary()).cast(pa.string()),
-            pa.array(counts, pa.int64()),
-        ],
-        schema=_COUNT,
-    )
+class _Block:
+    """The tokens of some chunks as numbers, with what each token needs to know of its chunk."""
+
+    def __init__(self, block: pa.Table):
+        chunks = [chunk.split(b" ") for chunk in block["chunk"].to_pylist()]
+        sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        numbers = _Numbers()
+        self.ids = np.fromiter(
+            (numbers[w] for chunk in chunks for w in chunk), np.int32, int(sizes.sum())
+        )
+        del chunks
+        self.place = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        self.ends = np.cumsum(sizes).astype(np.int32)
+        self.own_ends = self.ends - sizes.astype(np.int32) + block["own"].to_numpy()
+        self.weights = block["n"].to_numpy()
+        encoded = block["lang"].combine_chunks().dictionary_encode()
+        self.lang_names = encoded.dictionary.to_pylist()
+        self.langs = encoded.indices.to_numpy().astype(np.int64)
+        self.words = list(numbers)
+        self.is_break = self.ids == numbers.get(_BREAK, -1)
+
+    def passes(self, known: Filter, starts: np.ndarray, length: int) -> np.ndarray:
+        """Whether the phrases of ``length`` words at ``starts`` may be frequent."""
+        hashes = _hashes(self.words)
+        seeds = _hashes(x.encode() for x in self.lang_names)
+        columns = [hashes[self.ids[starts + k]] for k in range(length)]
+        return known(_phrase_hash(seeds[self.langs[self.place[starts]]], columns))
+
+    def phrases(self, length: int, known: Filter | None) -> pa.RecordBatch | None:
+        """Counts of the phrases of ``length`` words that the chunks own."""
+        here = np.arange(len(self.ids), dtype=np.int32)
+        starts = here[(here < self.own_ends[self.place]) & (here + length <= self.ends[self.place])]
+        for k in range(length):
+            starts = starts[~self.is_break[starts + k]]
+        if known is not None:
+            for shift in (0, 1):
+                starts = starts[self.passes(known, starts + shift, length - 1)]
+        if not len(starts):
+            return None
+        key = self.langs[self.place[starts]]
+        for k in range(length):
+            if k > 1:
+                key = np.unique(key, return_inverse=True)[1].astype(np.int64)
+            key = key * len(self.words) + self.ids[starts + k]
+        order = np.argsort(key)
+        first = np.flatnonzero(np.diff(key[order], prepend=-1))
+        counts = np.add.reduceat(self.weights[self.place[starts[order]]], first)
+        chosen = starts[order[first]]
+        words = self.words
+        found = [
+            b" ".join([words[i] for i in row])
+            for row in np.stack([self.ids[chosen + k] for k in range(length)], axis=1).tolist()
+        ]
+        langs = pa.DictionaryArray.from_arrays(
+            pa.array(self.langs[self.place[chosen]].astype(np.int32)), pa.array(self.lang_names, pa.string())
+        )
+        return pa.RecordBatch.from_arrays(
+            [langs.cast(pa.string()), pa.array(found, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())],
+            schema=_COUNT,
+        )
+
+    def stretches(self, known: Filter) -> pa.RecordBatch | None:
+        """Two or more words in a row that may all be frequent, as chunks of their own."""
+        kept = ~self.is_break
+        at = np.flatnonzero(kept)
+        kept[at] = self.passes(known, at, 1)
+        # A stretch ends with its chunk: a place is only ever compared with the one before it.
+        joined = kept[1:] & kept[:-1] & (self.place[1:] == self.place[:-1])
+        begins = np.flatnonzero(kept & ~np.concatenate([[False], joined]))
+        ends = np.flatnonzero(kept & ~np.concatenate([joined, [False]])) + 1
+        own = np.minimum(ends, self.own_ends[self.place[begins]]) - begins
+        useful = (ends - begins > 1) & (own > 0)
+        begins, ends, own = begins[useful], ends[useful], own[useful]
+        words, ids = self.words, self.ids.tolist()
+        chunks = self.place[begins]
+        seen: Counter = Counter()
+        for lang, begin, end, owned, n in zip(
+            self.langs[chunks].tolist(), begins.tolist(), ends.tolist(), own.tolist(), self.weights[chunks].tolist()
+        ):
+            seen[self.lang_names[lang], b" ".join([words[i] for i in ids[begin:end]]), owned] += n
+        return _chunk_batch(seen) if seen else None
 
 
-def _count(batches: Iterator[pa.RecordBatch], length: int, known) -> Iterator[pa.RecordBatch]:
+def _each_block(batches: Iterator[pa.RecordBatch], make) -> Iterator[pa.RecordBatch]:
     for block in _blocks(batches):
-        found = _count_block(block, length, known.value if known is not None else None)
+        found = make(_Block(block))
         if found is not None:
             yield found
 
 
+def _shared(chunks: DataFrame, known: Filter):
+    return chunks.sparkSession.sparkContext.broadcast(known)
+
+
+def frequent_stretches(chunks: DataFrame, known: Filter) -> DataFrame:
+    """The dictionary of stretches of frequent words inside ``chunks``, in the same columns."""
+    shared = _shared(chunks, known)
+    make = lambda block: block.stretches(shared.value)
+    return _folded(chunks.mapInArrow(partial(_each_block, make=make), _CHUNK_DDL))
+
+
 def phrase_counts(chunks: DataFrame, length: int, known: Filter | None = None) -> DataFrame:
     """``lang, phrase, n``: occurrences of phrases of ``length`` words in all documents.
 
     With ``known``, the filter of phrases one word shorter, phrases are left out
     that cannot be frequent.
     """
-    shared = chunks.sparkSession.sparkContext.broadcast(known) if known is not None else None
+    shared = _shared(chunks, known) if known is not None else None
+    make = lambda block: block.phrases(length, shared and shared.value)
     counted = chunks.mapInArrow(
-        partial(_count, length=length, known=shared), "lang string, phrase string, n long"
+        partial(_each_block, make=make), "lang string, phrase string, n long"
     )
     return counted.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
@@ -304,8 +359,11 @@ def collocations(docs: DataFrame) -> DataFrame:
     counted = keep(phrase_counts(chunks, 1))
     sizes = counted.groupBy("lang").agg(F.sum("n").alias("n"))
     levels = [counted.where(F.col("n") >= LEAST)]
+    stretches = keep(frequent_stretches(chunks, frequent_filter(levels[0])))
     for length in range(2, LONGEST + 1):
-        found = phrase_counts(chunks, length, frequent_filter(levels[-1]))
+        # Stretches hold no other words, so of two words nothing is left to ask.
+        known = frequent_filter(levels[-1]) if length > 2 else None
+        found = phrase_counts(stretches, length, known)
         levels.append(keep(found.where(F.col("n") >= LEAST)))
     frequent, candidates = levels[0], levels[1]
     for level in levels[1:]:
