@@ -18,7 +18,7 @@ from rostrum.pipeline import materialise
 from rostrum.plans import MODELS
 from rostrum.schemas import FEEDS, RAW_TABLES
 from rostrum.session import shared_folder
-from rostrum.sinks.publish import publish_tables, stage_tables
+from rostrum.sinks.publish import content_digest, loaded_digest, publish_tables, stage_tables
 from rostrum.sources.archive import folder_key, json_documents, unzip
 
 # --- archives ----------------------------------------------------------------
@@ -89,34 +89,71 @@ def _counted(name: str, table: DataFrame) -> DataFrame:
     return browse.count_rows(table).select(F.lit(name).alias("table_name"), "row_count")
 
 
+def _contents(name: str, stored: DataFrame, written: str | None) -> DataFrame:
+    """Size and digest of stored rows, and the digest taken when they were written."""
+    return stored.agg(
+        F.count(F.lit(1)).alias("row_count"), content_digest(stored).alias("digest")
+    ).select(F.lit(name).alias("table_name"), "row_count", "digest", F.lit(written).alias("written"))
+
+
+def _published(spark: SparkSession, database: str, names: tuple[str, ...] | list[str]) -> DataFrame:
+    return _union(
+        [_contents(n, spark.table(f"{database}.{n}"), loaded_digest(spark, database, n)) for n in names]
+    )
+
+
 def _stage_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, _ = _scratch(spark)
     staged = stage_tables(spark, _raw(spark, sf_dir, FEEDS["amendments"]), folder, "run")
-    return _union([_counted(s.table, spark.read.parquet(s.path)) for s in staged.values()])
+    return _union([_contents(s.table, spark.read.parquet(s.path), s.digest) for s in staged.values()])
 
 
-def _publish_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _publish_twice(spark: SparkSession, sf_dir: str) -> str:
     """Publishes twice, so that the second load replaces the first."""
     folder, database = _scratch(spark)
     tables = _raw(spark, sf_dir, FEEDS["ballots"])
     emptied = {name: table.limit(0) for name, table in tables.items()}
     publish_tables(spark, emptied, root=folder, database=database)
     publish_tables(spark, tables, root=folder, database=database)
-    return spark.table(f"{database}.scrutin_votes_individuels")
+    return database
+
+
+def _publish_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.table(f"{_publish_twice(spark, sf_dir)}.scrutin_votes_individuels")
+
+
+def _publish_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _published(spark, _publish_twice(spark, sf_dir), FEEDS["ballots"])
 
 
 def _load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, database = _scratch(spark)
     tables = _raw(spark, sf_dir, FEEDS["files"])
     counts = publish_tables(spark, tables, root=folder, database=database)
-    return spark.createDataFrame(list(counts.items()), "table_name string, row_count long")
+    rows = [(name, n, loaded_digest(spark, database, name)) for name, n in counts.items()]
+    return spark.createDataFrame(rows, "table_name string, row_count long, written string")
 
 
 def _materialise(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, database = _scratch(spark)
     materialise(spark, models(spark, sf_dir), root=folder, database=database)
-    stored = [n for n, model in MODELS.items() if model.stored]
-    return _union([_counted(n, spark.table(f"{database}.{n}")) for n in stored])
+    stored = _published(spark, database, [n for n, model in MODELS.items() if model.stored])
+    return stored.select("table_name", "row_count", (F.col("digest") == F.col("written")).alias("intact"))
+
+
+def _contents_sql(names: tuple[str, ...] | list[str], *digests: str) -> str:
+    """Sizes of tables, and the digest of their rows under each of the given names."""
+    named = [(n, "raw_documents" if n == "documents" else n) for n in names]
+    digest = "coalesce(sum(('0x' || left(md5(line), 15))::bigint), 0)::varchar"
+    columns = ", ".join(f"{digest} as {name}" for name in digests)
+    return over_raw(
+        " union all ".join(
+            f"select '{n}' as table_name, count(*) as row_count, {columns}"
+            " from (select concat_ws(chr(31), *columns(*)) as line"
+            f" from (select coalesce('=' || columns(*)::varchar, '') from {t}))"
+            for n, t in named
+        )
+    )
 
 
 def _counts_sql(names: tuple[str, ...] | list[str], cte: dict[str, str] | None = None) -> str:
@@ -249,6 +286,7 @@ QUERIES = {
     "archive_folder_key": _archive_folder_key,
     "stage_tables": _stage_tables,
     "publish_tables": _publish_tables,
+    "publish_digests": _publish_digests,
     "load_counts": _load_counts,
     "materialise": _materialise,
     "dq_required": _dq_required,
@@ -271,10 +309,14 @@ SQL = {
                            when entry like 'json/%' then split_part(entry, '/', 2)
                            else split_part(entry, '/', 1) end as folder
         from (select {_PATHS} as entry from documents)""",
-    "stage_tables": _counts_sql(FEEDS["amendments"]),
+    "stage_tables": _contents_sql(FEEDS["amendments"], "digest", "written"),
     "publish_tables": raw_sql("scrutin_votes_individuels"),
-    "load_counts": _counts_sql(FEEDS["files"]),
-    "materialise": _counts_sql([n for n, model in MODELS.items() if model.stored]),
+    "publish_digests": _contents_sql(FEEDS["ballots"], "digest", "written"),
+    "load_counts": _contents_sql(FEEDS["files"], "written"),
+    # Rows of marts are compared under the marts' own names; here, that they are stored as built.
+    "materialise": "select *, true as intact from ("
+    + _counts_sql([n for n, model in MODELS.items() if model.stored])
+    + ")",
     "dq_required": _dq_required_sql(),
     "dq_not_null": over_raw(
         " union all ".join(

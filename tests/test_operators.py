@@ -74,6 +74,23 @@ def test_attribution(spark, seed):
     assert attributed(spark, events, intervals) == brute(events, intervals)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_attribution_over_many_years(spark, seed):
+    """Blocks without offers, years beyond the first and last block, and busy days."""
+    rng = random.Random(100 + seed)
+    days = [date(rng.choice([1, 1789, 1899, 1900, 1958, 1999, 2000, 2024, 2050, 2051, 9999]), 1, 1)
+            + timedelta(rng.randrange(300)) for _ in range(60)]
+
+    def interval():
+        start = rng.choice([None, *days])
+        end = rng.choice([None, *(d for d in days if start is None or d >= start), start])
+        return rng.choice("abc"), start, end, f"M{rng.randrange(9)}", rng.choice("xyz")
+
+    intervals = [interval() for _ in range(40)]
+    events = [(str(i // 2), rng.choice("aaabd"), rng.choice([None, *days])) for i in range(200)]
+    assert attributed(spark, events, intervals) == brute(events, intervals)
+
+
 def test_attribution_bounds(spark):
     d = DAY0
     intervals = [("k", d, d, "M1", "day"), ("k", date(1850, 1, 1), date(1860, 1, 1), "M2", "old")]
