@@ -8,6 +8,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _SPREAD = 4096
+# A join side of at most so many rows is sent to all executors.
+_FEW_ROWS = 100_000
+
+
+def broadcast_if_few(df: DataFrame) -> DataFrame:
+    """``df``, hinted for broadcast when it is counted to be short.
+
+    Adaptive execution also broadcasts a short side, but learns its size while
+    the long side is already being shuffled. The count reads no more rows than
+    the bound calls for, and a longer side is joined as it was.
+    """
+    few = df.limit(_FEW_ROWS + 1).count() <= _FEW_ROWS
+    return F.broadcast(df) if few else df
 
 
 def lookup(left: DataFrame, right: DataFrame, key: str, spread_by: Sequence[str]) -> DataFrame:

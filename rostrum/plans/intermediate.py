@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rostrum.operators.joins import lookup
 from rostrum.plans.registry import Models, view
+from rostrum.plans.staging import speaker
 
 
 @view
@@ -119,12 +120,22 @@ def int_groupes(m: Models) -> DataFrame:
     )
 
 
-@view
-def int_interventions_enriched(m: Models) -> DataFrame:
-    """Speeches with their speaker; an unknown speaker keeps the transcript's name."""
+def _speakers(m: Models) -> DataFrame:
+    """The persons who are named as a speaker."""
+    named = speaker(m.raw("interventions")).select("depute_uid").distinct()
     people = m["stg_deputes"].select(
         "depute_uid", "nom_complet", "trigramme", "profession_categorie", "profession_famille"
     )
+    return people.join(named, "depute_uid", "left_semi")
+
+
+@view
+def int_interventions_enriched(m: Models) -> DataFrame:
+    """Speeches with their speaker; an unknown speaker keeps the transcript's name.
+
+    Speakers are few beside their speeches: as long as that holds, no speech moves.
+    """
+    people = m.few("speakers", _speakers)
     spread_by = ("compte_rendu_uid", "point_id", "intervention_id", "ordre_absolu_seance")
     return lookup(m["stg_interventions"], people, "depute_uid", spread_by).select(
         *("intervention_id", "compte_rendu_uid", "point_id", "point_valeur_ptsodj"),

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 
 from rostrum.functions.coerce import leading_date, safe_cast_date
+from rostrum.operators.joins import broadcast_if_few
 from rostrum.schemas import shape
 
 
@@ -66,6 +67,17 @@ class Models:
             self._built[key] = df if self._keep is None else self._keep(name, df)
         return self._built[key]
 
+    def few(self, name: str, build: Callable[["Models"], DataFrame]) -> DataFrame:
+        """A join side that several models read; its rows are counted once."""
+        key = f"few {name}"
+        if key not in self._built:
+            self._built[key] = broadcast_if_few(build(self))
+        return self._built[key]
+
+    @property
+    def keeps(self) -> bool:
+        return self._keep is not None
+
     def raw(self, name: str) -> DataFrame:
         return shape(self._raw[name], name)
 

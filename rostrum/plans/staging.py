@@ -75,18 +75,19 @@ def stg_dossiers_parlementaires(m: Models) -> DataFrame:
     return m.raw("dossiers_parlementaires").withColumnRenamed("uid", "dossier_uid")
 
 
+def speaker(speeches: DataFrame) -> DataFrame:
+    """Speeches with their speaker as a person key."""
+    return speeches.withColumn("orateur_id", F.concat(F.lit("PA"), "orateur_id")).withColumnRenamed(
+        "orateur_id", "depute_uid"
+    )
+
+
 @view
 def stg_interventions(m: Models) -> DataFrame:
     """Speeches with the date and term of their sitting and the speaker as a person key."""
-    sittings = m["stg_comptes_rendus"].select(
-        "compte_rendu_uid", "date_seance", "legislature", "type_assemblee", "session", "num_seance"
-    )
-    return (
-        m.raw("interventions")
-        .withColumn("orateur_id", F.concat(F.lit("PA"), "orateur_id"))
-        .withColumnRenamed("orateur_id", "depute_uid")
-        .join(sittings, "compte_rendu_uid", "left")
-    )
+    columns = ("compte_rendu_uid", "date_seance", "legislature", "type_assemblee", "session", "num_seance")
+    sittings = m.few("sittings", lambda m: m["stg_comptes_rendus"].select(*columns))
+    return speaker(m.raw("interventions")).join(sittings, "compte_rendu_uid", "left")
 
 
 @view
