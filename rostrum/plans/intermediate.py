@@ -29,19 +29,29 @@ def int_depute_mandats(m: Models) -> DataFrame:
 
 @view
 def int_depute_commissions(m: Models) -> DataFrame:
-    """Committee memberships."""
+    """Committee memberships.
+
+    Committees come first, so that mandates in other bodies meet nothing: a single
+    body may hold half of all mandates.
+    """
     committees = m["stg_commissions"].select(
         "commission_uid",
         F.col("libelle").alias("commission_libelle"),
         F.col("libelle_abrege").alias("commission_libelle_abrege"),
         F.col("code_type").alias("commission_code_type"),
     )
-    members = m["int_depute_mandats"].select(
-        *("depute_uid", "nom", "prenom", "nom_complet", "mandat_uid", "legislature"),
-        *("date_debut", "date_fin", F.col("organe_uid").alias("commission_uid")),
+    mandates = m["stg_mandats"].select(
+        *("depute_uid", "mandat_uid", "legislature", "date_debut", "date_fin"),
+        F.col("organe_uid").alias("commission_uid"),
     )
-    return members.join(committees, "commission_uid").select(
-        *members.columns, *committees.columns[1:]
+    people = m["stg_deputes"].select("depute_uid", "nom", "prenom", "nom_complet")
+    return (
+        mandates.join(m.few("committees", lambda m: committees), "commission_uid")
+        .join(people, "depute_uid", "left")
+        .select(
+            *("depute_uid", "nom", "prenom", "nom_complet", "mandat_uid", "legislature"),
+            *("date_debut", "date_fin", "commission_uid", *committees.columns[1:]),
+        )
     )
 
 

@@ -185,3 +185,14 @@ def test_speeches_do_not_move_to_their_speakers(spark, name):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert not re.search(r"hashpartitioning\((compte_rendu_uid|coalesce\()", plan)
+
+
+def test_only_committee_mandates_meet_persons(spark):
+    """Before, all mandates met the persons and then went by body to the committees."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(adapter.models(spark, "/root/testdata/sf0.001")["int_depute_commissions"])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert re.findall(r"hashpartitioning\((\w+)#", plan.split("Final Plan")[-1]).count("commission_uid") <= 1
+    assert "hashpartitioning(depute_uid" in plan
