@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,9 +26,12 @@ def attribute_by_interval(
     end: str,
     uid: str,
     label: str,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """One row ``(event_id, key, at, label)`` per event that lies in an interval of its key.
 
+    ``carry`` names more columns of the row that wins.
+
     A NULL ``start`` or ``end`` leaves that side open and a NULL ``at`` lies in
     every interval. Among several candidates the latest end wins (open ends
     last of all), then the latest start (an open start counting as 1900), then
@@ -73,7 +78,7 @@ def attribute_by_interval(
     candidates = events.join(
         answers, (F.col(key) == F.col("_key")) & F.col(at).eqNullSafe(F.col("_at"))
     )
-    winner = F.min(F.struct("_offer", at, key)).alias("_won")
+    winner = F.min(F.struct("_offer", at, key, *carry)).alias("_won")
     return (
         candidates.groupBy(event_id)
         .agg(winner)
@@ -82,5 +87,6 @@ def attribute_by_interval(
             F.col(f"_won.{key}").alias(key),
             F.col(f"_won.{at}").alias(at),
             F.col("_won._offer.label").alias(label),
+            *[F.col(f"_won.{c}").alias(c) for c in carry],
         )
     )

@@ -167,9 +167,9 @@ def int_scrutin_groupes(m: Models) -> DataFrame:
 def int_scrutin_groupes_enriched(m: Models) -> DataFrame:
     """Groups with the ballots they took part in; groups without any stay."""
     ballots = m["int_scrutin_groupes"].select("groupe_uid", "scrutin_uid", "position_majoritaire")
-    return (
-        m["int_groupes"].drop("groupe_libelle_abrev").join(ballots, "groupe_uid", "left")
-    )
+    # Broadcast where a reader wants groups with ballots only: groups are too few to join by.
+    groups = m.few("groups", lambda m: m["int_groupes"].drop("groupe_libelle_abrev"))
+    return groups.join(ballots, "groupe_uid", "left")
 
 
 def count_where(condition: Column) -> Column:
@@ -179,16 +179,16 @@ def count_where(condition: Column) -> Column:
 
 @view
 def int_dossier_actes(m: Models) -> DataFrame:
-    return (
-        m["stg_dossier_actes_legislatifs"]
-        .where(F.col("dossier_uid").isNotNull())
-        .groupBy("dossier_uid")
-        .agg(
-            F.min("date_acte").alias("date_premier_acte"),
-            F.max("date_acte").alias("date_dernier_acte"),
-            F.count_distinct("acte_uid").alias("nombre_actes_total"),
-            (count_where(F.col("acte_code").startswith("PROM")) > 0).alias("est_adopte"),
-        )
+    """Acts are counted apart, so that only file and act move for the distinct count."""
+    acts = m["stg_dossier_actes_legislatifs"].where(F.col("dossier_uid").isNotNull())
+    counts = acts.groupBy("dossier_uid").agg(F.count_distinct("acte_uid").alias("nombre_actes_total"))
+    described = acts.groupBy("dossier_uid").agg(
+        F.min("date_acte").alias("date_premier_acte"),
+        F.max("date_acte").alias("date_dernier_acte"),
+        (count_where(F.col("acte_code").startswith("PROM")) > 0).alias("est_adopte"),
+    )
+    return described.join(counts, "dossier_uid").select(
+        *("dossier_uid", "date_premier_acte", "date_dernier_acte", "nombre_actes_total", "est_adopte")
     )
 
 

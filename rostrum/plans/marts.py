@@ -9,6 +9,9 @@ counts, minima and maxima.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import partial
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,17 +20,71 @@ from rostrum.operators.attribution import attribute_by_interval
 from rostrum.operators.latest import latest_per_key
 from rostrum.plans.intermediate import ballots_of_files
 from rostrum.plans.registry import Models, table
+from rostrum.plans.staging import speaker
 
 
 def _or_zero(*names: str) -> list[Column]:
     return [F.coalesce(F.col(n), F.lit(0)).alias(n) for n in names]
 
 
+# What marts count speeches by; rows of one speech that agree in all of it are one row.
+_TRAITS = ("depute_uid", "date_seance", "legislature", "compte_rendu_uid")
+
+
+def _one_row(df: DataFrame, key: str, traits: Sequence[str], agree: str) -> DataFrame:
+    """A row per ``key``, NULL included: its ``traits``, and whether all its rows ``agree`` in them."""
+    found = F.struct(*traits)
+    least, greatest = F.min(found).alias("least"), F.max(found).alias("greatest")
+    same = F.col("least").eqNullSafe(F.col("greatest"))
+    return df.groupBy(key).agg(least, greatest).select(key, "least.*", same.alias(agree))
+
+
 def _dated_speeches(m: Models) -> DataFrame:
-    return m.shared(
+    """One row per ``intervention_id`` with its traits.
+
+    ``alone`` tells that all rows of the id agree in them; where they do not,
+    the traits are those of one row and :func:`_several` has the others.
+    """
+    speeches = m.shared(
         "dated_speeches",
-        lambda m: m["stg_interventions"].select("intervention_id", "depute_uid", "date_seance"),
+        lambda m: _one_row(
+            speaker(m.raw("interventions")), "intervention_id", ("depute_uid", "compte_rendu_uid"), "same"
+        ),
     )
+    sittings = m.few(
+        "days of sittings",
+        lambda m: _one_row(
+            m["stg_comptes_rendus"], "compte_rendu_uid", ("date_seance", "legislature"), "once"
+        ),
+    )
+    alone = F.col("same") & F.coalesce("once", F.lit(True))
+    return speeches.join(sittings, "compte_rendu_uid", "left").withColumn("alone", alone)
+
+
+def _folded(m: Models, *keys: str) -> DataFrame:
+    """Speeches that are alone, folded by ``keys``: their number and first and last day.
+
+    Ids are all different here, so no id has to move for a distinct count.
+    """
+    return (
+        _dated_speeches(m)
+        .where("alone")
+        .groupBy(*keys)
+        .agg(
+            F.count("intervention_id").alias("speeches"),
+            F.min("date_seance").alias("first_day"),
+            F.max("date_seance").alias("last_day"),
+        )
+    )
+
+
+def _several(m: Models) -> DataFrame:
+    """The distinct ``(intervention_id, *traits)`` of ids whose rows do not agree."""
+    ids = _dated_speeches(m).where("not alone").select(F.col("intervention_id").alias("_id"))
+    if m.keeps:  # else counting would compute the shared step once more
+        ids = m.few("ids of several rows", lambda m: ids)
+    rows = m["stg_interventions"].select("intervention_id", *_TRAITS)
+    return rows.join(ids, rows["intervention_id"].eqNullSafe(ids["_id"]), "left_semi").distinct()
 
 
 def _speeches_per_person(m: Models) -> DataFrame:
@@ -39,14 +96,24 @@ def _acts_of_files(m: Models) -> DataFrame:
 
 
 def _count_speeches(m: Models) -> DataFrame:
+    several = (
+        _several(m)
+        .groupBy("depute_uid")
+        .agg(
+            F.count_distinct("intervention_id").alias("speeches"),
+            F.min("date_seance").alias("first_day"),
+            F.max("date_seance").alias("last_day"),
+        )
+    )
     return (
-        _dated_speeches(m)
+        _folded(m, "depute_uid")
+        .unionByName(several)
         .where(F.col("depute_uid").isNotNull())
         .groupBy("depute_uid")
         .agg(
-            F.count_distinct("intervention_id").alias("nb_interventions"),
-            F.min("date_seance").alias("premiere_intervention"),
-            F.max("date_seance").alias("derniere_intervention"),
+            F.sum("speeches").alias("nb_interventions"),
+            F.min("first_day").alias("premiere_intervention"),
+            F.max("last_day").alias("derniere_intervention"),
         )
     )
 
@@ -77,10 +144,9 @@ def mart_depute_activity(m: Models) -> DataFrame:
 
 def _activity_by_body(m: Models, memberships: DataFrame, body: str) -> DataFrame:
     """Speeches attributed to the bodies their speaker belonged to on the day."""
-    attributed = attribute_by_interval(
-        _dated_speeches(m),
-        memberships,
-        event_id="intervention_id",
+    attributed = partial(
+        attribute_by_interval,
+        intervals=memberships,
         key="depute_uid",
         at="date_seance",
         start="date_debut",
@@ -88,9 +154,16 @@ def _activity_by_body(m: Models, memberships: DataFrame, body: str) -> DataFrame
         uid="mandat_uid",
         label=body,
     )
+    # Speeches that are alone go to the same body if person and day are the same.
+    days = _folded(m, "depute_uid", "date_seance").select(
+        F.struct("depute_uid", "date_seance").alias("day"), "depute_uid", "date_seance", "speeches"
+    )
+    alone = attributed(days, event_id="day", carry=("speeches",))
+    several = attributed(_several(m), event_id="intervention_id")
     # A speech has one body at most, so counting its id is already distinct.
-    return attributed.groupBy(body).agg(
-        F.count("intervention_id").alias("speeches"),
+    counted = several.withColumn("speeches", F.col("intervention_id").isNotNull().cast("long"))
+    return alone.drop("day").unionByName(counted.drop("intervention_id")).groupBy(body).agg(
+        F.sum("speeches").alias("speeches"),
         F.count_distinct("depute_uid").alias("nb_orateurs"),
         F.min("date_seance").alias("premiere_intervention"),
         F.max("date_seance").alias("derniere_intervention"),
@@ -168,12 +241,19 @@ def mart_commission_activity(m: Models) -> DataFrame:
 @table
 def mart_interventions_time(m: Models) -> DataFrame:
     """Per sitting date and term: speeches, speakers and transcripts."""
+    days = ("date_seance", "legislature")
+    several = _several(m).where(F.col("date_seance").isNotNull())
+    ids = several.groupBy(*days).agg(F.count_distinct("intervention_id").alias("speeches"))
+    alone = _folded(m, *_TRAITS).select(*_TRAITS, "speeches").where(F.col("date_seance").isNotNull())
+    traits = several.select(*_TRAITS, F.lit(0).cast("long").alias("speeches"))
+    none = F.lit(None).cast("string")
+    counted = ids.select(none.alias("depute_uid"), *days, none.alias("compte_rendu_uid"), "speeches")
     return (
-        m["stg_interventions"]
-        .where(F.col("date_seance").isNotNull())
-        .groupBy("date_seance", "legislature")
+        alone.unionByName(traits)
+        .unionByName(counted)
+        .groupBy(*days)
         .agg(
-            F.count_distinct("intervention_id").alias("nb_interventions"),
+            F.sum("speeches").alias("nb_interventions"),
             F.count_distinct("depute_uid").alias("nb_orateurs"),
             F.count_distinct("compte_rendu_uid").alias("nb_comptes_rendus"),
         )
@@ -371,6 +451,11 @@ def mart_dossiers_votes_groupes(m: Models) -> DataFrame:
     """Per file, group and assembly: group votes, once per act that refers to the ballot."""
     votes = (
         m["stg_scrutin_groupes_votes"]
+        .select(
+            *("scrutin_uid", "groupe_organe_ref", "organe_ref_assemblee"),
+            *("pour", "contre", "abstentions"),
+        )
+        .repartition("scrutin_uid")  # for the fold and the join
         .groupBy("scrutin_uid", "groupe_organe_ref", "organe_ref_assemblee")
         .agg(
             F.count(F.lit(1)).alias("lignes"),
@@ -424,6 +509,8 @@ def mart_groupes_co_vote(m: Models) -> DataFrame:
     stands = (
         m["int_scrutin_groupes_enriched"]
         .where(F.col("scrutin_uid").isNotNull() & F.col("position_majoritaire").isNotNull())
+        .select("scrutin_uid", "position_majoritaire", "groupe_uid")
+        .repartition("scrutin_uid", "position_majoritaire")  # for the fold and the join
         .groupBy("scrutin_uid", "position_majoritaire", "groupe_uid")
         .agg(F.count(F.lit(1)).alias("n"))
     )

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import json
+import random
 import re
 import zipfile
 from datetime import UTC, date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks import adapter
 from rostrum.ingest import INGEST
 from rostrum.operators import quality
+from rostrum.operators.attribution import attribute_by_interval
 from rostrum.pipeline import build_models, load_feed
 from rostrum.plans import MODELS, Models
 from rostrum.schemas import FEEDS
@@ -196,3 +199,67 @@ def test_only_committee_mandates_meet_persons(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert re.findall(r"hashpartitioning\((\w+)#", plan.split("Final Plan")[-1]).count("commission_uid") <= 1
     assert "hashpartitioning(depute_uid" in plan
+
+
+def speeches_of_many_rows(spark):
+    """Ids with rows of several persons and days, without id, and sittings entered twice."""
+    rng = random.Random(5)
+    pick = lambda *values: rng.choice(values)
+    days = [None, "2001-01-01", "2001-01-02", "2001-02-01", "20010301"]
+    speeches = [
+        (pick(None, "I0", f"I{n}"), pick("CR0", "CR1", "CR2", "CR3", "CR9", None), pick(None, "1", "2", "3"))
+        for n in range(400)
+    ]
+    sittings = [(f"CR{n % 4}", days[n % 5], pick(None, "15", "16")) for n in range(6)]
+    mandates = [
+        (f"M{n}", f"PA{n % 4}", pick("PO1", "PO2"), pick(None, date(2001, 1, 1)), pick(None, date(2001, 1, 20)))
+        for n in range(8)
+    ]
+    return raw_models(
+        spark,
+        interventions=(speeches, "intervention_id string, compte_rendu_uid string, orateur_id string"),
+        comptes_rendus=(sittings, "uid string, date_seance string, legislature string"),
+        acteurs=([(f"PA{n}", "nom") for n in range(4)], "uid string, nom string"),
+        organes=([("PO1", "GP", "A"), ("PO2", "GP", "B")], "uid string, code_type string, libelle string"),
+        mandats=(
+            mandates,
+            "uid string, acteur_ref string, organe_ref string, date_debut date, date_fin date",
+        ),
+    )
+
+
+@pytest.mark.parametrize("kept", [False, True])
+def test_speeches_of_many_rows_count_once(spark, tmp_path, kept):
+    m = speeches_of_many_rows(spark)
+    speeches = m["stg_interventions"]
+    rows = lambda df: sorted(map(repr, df.collect()))
+    by_day = speeches.where("date_seance is not null").groupBy("date_seance", "legislature")
+    names = {"intervention_id": "nb_interventions", "depute_uid": "nb_orateurs", "compte_rendu_uid": "nb_comptes_rendus"}
+    by_day = by_day.agg(*[F.count_distinct(c).alias(n) for c, n in names.items()])
+    by_person = speeches.groupBy("depute_uid").agg(
+        F.count_distinct("intervention_id").alias("nb_interventions"),
+        F.min("date_seance").alias("premiere_intervention"),
+        F.max("date_seance").alias("derniere_intervention"),
+    )
+    by_person = m["stg_mandats"].select("depute_uid").distinct().join(by_person, "depute_uid", "left")
+    at = dict(event_id="intervention_id", key="depute_uid", at="date_seance", uid="mandat_uid")
+    won = attribute_by_interval(
+        speeches, m["stg_mandats"], start="date_debut", end="date_fin", label="organe_uid", **at
+    )
+    by_group = won.groupBy(F.col("organe_uid").alias("groupe_uid")).agg(
+        F.count("intervention_id").alias("nb_interventions"),
+        F.count_distinct("depute_uid").alias("nb_orateurs"),
+        F.min("date_seance").alias("premiere_intervention"),
+        F.max("date_seance").alias("derniere_intervention"),
+    )
+    if kept:
+        m = m.keeping(lambda name, df: (df.write.parquet(f"{tmp_path}/{name}"), spark.read.parquet(f"{tmp_path}/{name}"))[1])
+    assert rows(m["mart_interventions_time"]) == rows(by_day)
+    assert rows(m["mart_depute_activity"].select(by_person.columns)) == rows(by_person.fillna(0))
+    assert rows(m["mart_groupe_activity"].select(by_group.columns)) == rows(by_group)
+
+
+def test_votes_move_once_for_fold_and_join(spark):
+    """Before, they moved by ballot, group and assembly, and then once more by ballot."""
+    plan = plan_of(adapter.models(spark, "/root/testdata/sf0.001")["mart_dossiers_votes_groupes"])
+    assert not re.search(r"hashpartitioning\(scrutin_uid#\d+, groupe_organe_ref", plan)
