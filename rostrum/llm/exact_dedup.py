@@ -30,7 +30,9 @@ class DigestIndex:
             self._write(spark.createDataFrame([], "digest string, keep_id bigint"))
 
     def _append(self, rows: DataFrame) -> None:
-        self._write(rows.repartition(self.buckets, "digest"))  # one file per bucket
+        # One file per bucket, however many partitions the session deals out.
+        bucket = F.pmod(F.hash("digest"), F.lit(self.buckets))
+        self._write(rows.repartition(self.buckets, bucket))
 
     def _write(self, rows: DataFrame) -> None:
         (
