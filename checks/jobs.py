@@ -17,7 +17,7 @@ from rostrum.operators import browse, quality
 from rostrum.pipeline import materialise
 from rostrum.plans import MODELS
 from rostrum.schemas import FEEDS, RAW_TABLES
-from rostrum.session import shared_folder
+from rostrum.session import configure, shared_folder
 from rostrum.sinks.publish import content_digest, loaded_digest, publish_tables, stage_tables
 from rostrum.sources.archive import folder_key, json_documents, unzip
 
@@ -46,6 +46,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _documents_from_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)  # bounds what a Python task holds: else 10,000 documents, or all archives of a task
     documents = bench_table(spark, sf_dir, "documents")
     archives = documents.selectExpr(f"{_PATHS} as entry", "text as body").mapInArrow(
         _pack, "path string, content binary"

@@ -25,7 +25,7 @@ _RANGE = (
     "archive string, start bigint, stop bigint,"
     " members array<struct<entry:string,offset:bigint,size:bigint,length:bigint,method:int,flags:int,crc:bigint>>"
 )
-_BATCH_CHARS = 16 * MIB
+_BATCH_CHARS = 4 * MIB
 # Beyond this many ranges a task reads several of them.
 _MOST_TASKS = 20_000
 # Fixed values of the zip format: the local header is 30 bytes and the lengths

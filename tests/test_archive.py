@@ -7,6 +7,9 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
+from checks import jobs
+from checks.compare import TESTDATA
+from rostrum.session import SETTINGS, configure
 from rostrum.sources.archive import folder_key, json_documents, read_archives
 
 
@@ -115,3 +118,14 @@ def test_folder_key(spark):
         "p", folder_key(F.col("p")).alias("k")
     )
     assert {r.p: r.k for r in rows.collect()} == paths
+
+
+def test_archive_queries_bound_what_a_python_task_holds(spark):
+    """Before, a batch held 10,000 documents or all archives of a task, whatever their length."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(name)
+    try:
+        jobs.QUERIES["read_archive_all"](spark, f"{TESTDATA}/sf0.001")
+        assert spark.conf.get(name) == SETTINGS[name]
+    finally:
+        configure(spark)
