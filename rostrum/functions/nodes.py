@@ -71,18 +71,31 @@ def organe_refs(node: Column) -> Column:
 def voters(container: Column, schema: T.StructType) -> Column:
     """Voters of a container: ``{votant: one or many}``, a bare list, or one voter.
 
-    An empty object holds no voter.
+    An empty object holds no voter. Voters have a field ``votant`` besides those of ``schema``.
     """
-    keyed = F.from_json(container, "map<string,string>")
-    node = F.when(container.startswith("["), container).otherwise(
-        bind(
-            keyed,
-            lambda k: F.when(F.map_contains_key(k, "votant"), k["votant"]).when(
-                F.size(k) > 0, container
-            ),
+    voter = T.StructType([T.StructField("votant", T.StringType(), True), *schema.fields])
+
+    def read(found: Column) -> Column:
+        one = F.get(found, 0)
+        filled = F.coalesce(*[one[name] for name in schema.names]).isNotNull()
+        return (
+            F.when(container.startswith("["), found)
+            .when(one.votant.isNotNull(), objects(one.votant, voter))
+            .when(filled & ~container.contains('"votant"'), found)
+            .otherwise(_rare_voters(container, voter))
         )
+
+    return bind(objects(container, voter), read)
+
+
+def _rare_voters(container: Column, voter: T.StructType) -> Column:
+    """Voters of an object of which the known fields do not say whether it is or holds a voter."""
+    keyed = F.from_json(container, "map<string,string>")
+    node = bind(
+        keyed,
+        lambda k: F.when(F.map_contains_key(k, "votant"), k["votant"]).when(F.size(k) > 0, container),
     )
-    return bind(node, lambda n: objects(n, schema))
+    return bind(node, lambda n: objects(n, voter))
 
 
 def text_or_uid(text: Column) -> Column:

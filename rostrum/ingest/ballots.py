@@ -163,7 +163,8 @@ def scrutin_votes_individuels(ballots: DataFrame) -> DataFrame:
             )
         ),
     )
-    rows = containers.select(
+    # Most positions of a group are missing or empty objects; those hold no voter.
+    rows = containers.where("container != '{}'").select(
         *("scrutin_uid", "groupe_organe_ref", "source", "position_vote"),
         F.explode(voters(F.col("container"), _VOTER)).alias("v"),
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rostrum.functions.nodes import bind
 from rostrum.sources.archive import json_documents
 
 
@@ -32,19 +33,17 @@ def parse_documents(
     listed = F.concat(F.lit("["), "body", F.lit("]"))
     shape = T.ArrayType(T.StructType([T.StructField(root, schema)]))
     parsed = F.from_json(listed, shape, {"allowSingleQuotes": "false"})
-    holder = F.struct("entry", listed.alias("listed"), parsed.alias("parsed"))
-    # Taking the parsed node out of an array keeps later filters on it above the
-    # parse: pushed below, each of them would parse the document again.
-    read = json_documents(documents, prefix).select(F.explode(F.array(holder)).alias("d")).select("d.*")
-    read = read.withColumn("doc", F.when(F.size("parsed") == 1, F.get("parsed", 0)[root]))
-    one = F.try_variant_get(F.try_parse_json("listed"), "$", "array<variant>")
-    well_formed = F.when(F.col("doc").isNotNull(), True).otherwise(F.coalesce(F.size(one) == 1, F.lit(False)))
-    if bad_json == "fail":
-        checked = F.when(~well_formed, _fail("bad JSON").cast(schema))
-    else:
-        read = read.where(well_formed)
-        checked = F.when(F.lit(False), F.col("doc"))
-    if no_root == "fail":
-        checked = checked.when(F.col("doc").isNull(), _fail(f"no {root}").cast(schema))
-    rows = read.select("entry", checked.otherwise(F.col("doc")).alias("doc"))
-    return rows.where(F.col("doc").isNotNull())
+    one = F.try_variant_get(F.try_parse_json(listed), "$", "array<variant>")
+    nodes = T.ArrayType(schema)
+    none = F.array().cast(nodes)
+    lacking = _fail(f"no {root}").cast(nodes) if no_root == "fail" else none
+    malformed = _fail("bad JSON").cast(nodes) if bad_json == "fail" else none
+
+    def read(found: Column) -> Column:
+        doc = F.get(found, 0)[root]
+        kept = (F.size(found) == 1) & doc.isNotNull()
+        return F.when(kept, F.array(doc)).when(F.size(one) == 1, lacking).otherwise(malformed)
+
+    # All checks stand in one generator: as filters each of them would parse the document again, or
+    # be written out so often that the generated code is too long to be compiled.
+    return json_documents(documents, prefix).select("entry", F.explode(bind(parsed, read)).alias("doc"))
