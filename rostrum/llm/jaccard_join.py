@@ -16,7 +16,10 @@ them. So sets meet under the hashes of their segments:
   most others. Only where that leaves more than one component are the pairs
   across components formed.
 
-Every pair met is verified on the whole sets.
+Most pairs that meet are not similar. Each set has a sketch of ``SKETCH`` longs, the
+parities of its elements by hash: two sets differ in at least as many elements as
+their sketches do in bits, so pairs beyond the differences allowed go before any
+text is shipped. Every other pair is verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -36,6 +39,7 @@ BAND = 1.25  # ratio of the largest size of a band to its smallest
 NEIGHBOURS_IN = 16  # one-deletion neighbourhoods are indexed in so many segments of a band
 MEMBERS_PER_CHUNK = 256  # documents verified against one copy of their centre
 CHUNK_BYTES = 1 << 20  # texts hashed at once
+SKETCH = 8  # longs of a sketch
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0x5851F42D4C957F2D
@@ -234,13 +238,24 @@ def _chunks(texts: list[str]):
             at, held, size = i + 1, [], 0
 
 
-_ENTRIES = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("tag", pa.int64())])
+_ENTRIES = pa.schema(
+    [("key", pa.int64()), ("doc_id", pa.int64()), ("tag", pa.int64()), ("sketch", pa.list_(pa.int64()))]
+)
+_ENTRIES_DDL = "key bigint, doc_id bigint, tag bigint, sketch array<bigint>"
 _ALONE = np.uint64(0x1234567)
 
 
+def sketches(owner: np.ndarray, element: np.ndarray, n: int) -> np.ndarray:
+    """``SKETCH`` longs for each of ``n`` sets: whether the elements that hash to a bit are odd in number."""
+    bit = element & np.uint64(64 * SKETCH - 1)
+    out = np.zeros(n * SKETCH, np.uint64)
+    np.bitwise_xor.at(out, owner * SKETCH + (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
+    return out.view(np.int64)
+
+
 def _entries(batches, words: int, percent: int):
     """Index entries; ``tag`` is 1 for a probe, and for the one entry that stands for
-    the document itself (under the hash of its whole set) -1 - size."""
+    the document itself (under the hash of its whole set, with its sketch) -1 - size."""
     seen: set[int] = set()
     for batch in batches:
         ids = batch.column(0)
@@ -255,7 +270,15 @@ def _entries(batches, words: int, percent: int):
             alone = ~ok | (counts == 0)
             whole[alone] = mix((doc[alone].astype(np.uint64) + np.arange(n, dtype=np.uint64)[alone] * _ODD) ^ _ALONE)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(whole.view(np.int64)), pa.array(doc, mask=~ok), pa.array(-1 - counts)], schema=_ENTRIES
+                [
+                    pa.array(whole.view(np.int64)),
+                    pa.array(doc, mask=~ok),
+                    pa.array(-1 - counts),
+                    pa.ListArray.from_arrays(
+                        pa.array(np.arange(n + 1, dtype=np.int32) * SKETCH), pa.array(sketches(owner, element, n))
+                    ),
+                ],
+                schema=_ENTRIES,
             )
             # Of equal sets in this task one enters the index.
             new = []
@@ -267,7 +290,12 @@ def _entries(batches, words: int, percent: int):
                 sets = np.split(element, np.cumsum(counts)[:-1])
                 of_set, key, probe = index_entries([sets[i] for i in new], percent)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), pa.array(doc[new][of_set]), pa.array(probe.astype(np.int64))],
+                    [
+                        pa.array(key.view(np.int64)),
+                        pa.array(doc[new][of_set]),
+                        pa.array(probe.astype(np.int64)),
+                        pa.nulls(len(key), _ENTRIES.field("sketch").type),
+                    ],
                     schema=_ENTRIES,
                 )
 
@@ -387,6 +415,23 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _may_link(percent: int) -> Column:
+    """Whether the sketches of two documents leave them similar; those without a sketch are."""
+    differ = sum(
+        F.bit_count(F.get("sketch_a", F.lit(i)).bitwiseXOR(F.get("sketch_b", F.lit(i)))) for i in range(SKETCH)
+    )
+    allowed = (100 - percent) * (F.col("size_a") + F.col("size_b"))
+    return F.coalesce((100 + percent) * differ <= allowed, F.lit(True))
+
+
+def _of_both(pairs: DataFrame, about: DataFrame) -> DataFrame:
+    """The pairs ``(a, b)`` with the columns of ``about``, named for each end."""
+    for end in ("a", "b"):
+        named = about.select(F.col("doc_id").alias(f"_{end}"), *(F.col(c).alias(f"{c}_{end}") for c in about.columns if c != "doc_id"))
+        pairs = pairs.join(named, F.col(end) == F.col(f"_{end}"), "left").drop(f"_{end}")
+    return pairs
+
+
 def _bounds(open_docs: DataFrame, tried: DataFrame, rows: DataFrame, words: int) -> DataFrame:
     """``owner, own, centre, centre_size, gone, zones`` of open documents with one text.
 
@@ -428,7 +473,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     one document, linked if any of its texts is. No documents give no rows.
     """
     rows = texts(docs)
-    entries = rows.mapInArrow(partial(_entries, words=words, percent=percent), "key bigint, doc_id bigint, tag bigint")
+    entries = rows.mapInArrow(partial(_entries, words=words, percent=percent), _ENTRIES_DDL)
     under = Window.partitionBy("key")
     met = (
         entries.withColumn("first", F.min("doc_id").over(under))
@@ -439,7 +484,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     several = (F.col("first") < F.col("last")) & ((F.col("probed") == 1) | (F.col("whole") < -1))
     met = keep(
         met.where((F.col("tag") < 0) | several)
-        .select("key", "doc_id", "tag", F.when(several, F.col("first")).alias("first"))
+        .select("key", "doc_id", "tag", "sketch", F.when(several, F.col("first")).alias("first"))
     )
     whole = met.where("tag < 0")
     equal = keep(whole.where("first < doc_id").groupBy(F.col("doc_id").alias("a")).agg(F.min("first").alias("b")))
@@ -454,9 +499,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     # How often a document meets others: of edited copies, what they were made from meets most.
     met_under = index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     meets = index.join(met_under, "key").groupBy("doc_id").agg(F.sum("n").alias("meets"))
-    size = whole.groupBy("doc_id").agg(F.max(-1 - F.col("tag")).alias("size"))
+    # A document of several texts has no one sketch.
+    sketch = F.when(F.count(F.lit(1)) == 1, F.first("sketch")).alias("sketch")
+    size = whole.groupBy("doc_id").agg(F.max(-1 - F.col("tag")).alias("size"), sketch)
     about = keep(meets.join(size, "doc_id"))
-    index = keep(index.join(about, "doc_id").join(met_under, "key", "left_semi"))
+    sketched = about.select("doc_id", "size", "sketch")
+    index = keep(index.join(about.drop("sketch"), "doc_id").join(met_under, "key", "left_semi"))
     held = keep(rows.join(about, "doc_id", "left_semi"))
 
     open_ = keep(_still_open(index, equal.select(F.col("a").alias("node"), F.col("b").alias("root"))))
@@ -468,48 +516,53 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         .select("a", F.col("_most.doc_id").alias("b"))
     )
     tried = keep(_ordered(star))
-    links = keep(equal.union(_linked(_by_centre(tried), held, words, percent)))
+    likely = keep(_of_both(tried, sketched).where(_may_link(percent)).select("a", "b"))
+    links = keep(equal.union(_linked(_by_centre(likely), held, words, percent)))
 
     # What is not connected now is settled pair by pair, but for pairs that cannot
-    # be similar: elements of their own leave the two too little in common.
-    open_ = keep(_still_open(index, components(links)))
-    open_docs = open_.select("doc_id").distinct()
-    about = ("own", "centre", "centre_size", "gone", "zones")
-    bounds = _bounds(open_docs, tried, held, words)
-    columns = ("doc_id", "root", "size", "probes", *about)
-    open_ = keep(
-        open_.join(bounds, open_["doc_id"] == bounds["owner"], "left")
-        .withColumn("own", F.coalesce("own", F.lit(0)))
-        .select("key", *columns)
-    )
+    # be similar: their sketches differ too much, or elements of their own leave
+    # the two too little in common.
+    open_ = keep(_still_open(index, components(links)).join(sketched.select("doc_id", "sketch"), "doc_id"))
+    columns = ("doc_id", "root", "size", "probes", "sketch")
     left = open_.where("probes = 1").select("key", *(F.col(c).alias(f"{c}_a") for c in columns))
     right = open_.select("key", *(F.col(c).alias(f"{c}_b") for c in columns))
+    possible = (
+        (left["key"] == right["key"])
+        & (F.col("root_a") != F.col("root_b"))
+        & ((F.col("doc_id_a") < F.col("doc_id_b")) | (F.col("probes_b") == 0))
+        & (100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b"))
+        & _may_link(percent)
+    )
+    across = _ordered(left.join(right, possible).select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")))
+    across = keep(across.join(tried, ["a", "b"], "left_anti"))
+    open_docs = keep(across.select(F.col("a").alias("doc_id")).union(across.select("b")).distinct())
+    bounds = keep(_bounds(open_docs, likely, held, words).withColumnRenamed("owner", "doc_id"))
+    across = _of_both(_of_both(across, sketched.select("doc_id", "size")), bounds)
+
+    def own(side: str) -> Column:
+        return F.coalesce(f"own_{side}", F.lit(0))
 
     def enough(common: Column) -> Column:
         return (100 + percent) * common >= percent * (F.col("size_a") + F.col("size_b"))
 
     def beyond(side: str) -> Column:
         """What a document has in common with others and not with its centre, at most."""
-        return F.col(f"size_{side}") - F.col(f"own_{side}") - F.col(f"centre_size_{side}") + F.col(f"gone_{side}")
+        return F.col(f"size_{side}") - own(side) - F.col(f"centre_size_{side}") + F.col(f"gone_{side}")
 
     # Of one centre, two documents together lack what either lacks in each zone.
     lacking = sum(
         F.greatest(*(F.shiftrightunsigned(f"zones_{side}", 4 * zone).bitwiseAND(F.lit(15)) for side in "ab"))
         for zone in range(ZONES)
     )
-    possible = (
-        (left["key"] == right["key"])
-        & (F.col("root_a") != F.col("root_b"))
-        & ((F.col("doc_id_a") < F.col("doc_id_b")) | (F.col("probes_b") == 0))
-        & enough(F.least(F.col("size_a") - F.col("own_a"), F.col("size_b") - F.col("own_b")))
+    across = across.where(
+        enough(F.least(F.col("size_a") - own("a"), F.col("size_b") - own("b")))
         & (
             ~F.col("centre_a").eqNullSafe(F.col("centre_b"))
             | F.col("centre_a").isNull()
             | enough(F.col("centre_size_a") - lacking + F.least(beyond("a"), beyond("b")))
         )
     )
-    across = _ordered(left.join(right, possible).select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")))
-    across = keep(across.join(tried, ["a", "b"], "left_anti"))
+    across = keep(across.select("a", "b"))
     reached = components(keep(links.union(_linked(across, held, words, percent))))
     return whole.join(reached, whole["doc_id"] == reached["node"], "left").select(
         "doc_id", (-1 - F.col("tag")).alias("n_shingles"), F.coalesce("root", "doc_id").alias("component_id")

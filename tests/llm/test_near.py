@@ -82,6 +82,24 @@ def test_similar_sets_always_meet(size, fewer, more, seed, percent):
         assert any(rows[0][k] or rows[1][k] for k in rows[0].keys() & rows[1].keys())
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 2000), st.integers(0, 60), st.integers(0, 60), st.integers(0, 10**6))
+def test_sketches_differ_in_no_more_bits_than_sets_in_elements(shared, fewer, more, seed):
+    element = np.unique(np.random.default_rng(seed).integers(0, 2**63, shared + fewer + more, dtype=np.uint64))
+    a, b = element[: shared + fewer], np.concatenate([element[:shared], element[shared + fewer :]])
+    owner = np.repeat(np.arange(2), [len(a), len(b)])
+    x, y = np.split(join.sketches(owner, np.concatenate([a, b]), 2), 2)
+    assert sum(int(n).bit_count() for n in (x ^ y).view(np.uint64)) <= len(np.setxor1d(a, b))
+
+
+def test_documents_that_only_share_a_line_are_not_compared(spark, monkeypatch):
+    compared, linked = [], join._linked
+    monkeypatch.setattr(join, "_linked", lambda pairs, *rest: compared.append(pairs.count()) or linked(pairs, *rest))
+    rows = [(i, f"a{i} b{i} c{i} one two three four five six") for i in range(60)]
+    check(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), rows, 5, 80)
+    assert sum(compared) == 0
+
+
 def test_components(spark):
     draw = random.Random(3)
     links = [(i, i + 1) for i in range(60)] + [(draw.randrange(100, 300), draw.randrange(100, 300)) for _ in range(90)]
