@@ -19,11 +19,12 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from functools import partial
+from functools import cached_property, partial
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,7 +44,7 @@ TOP = 2000
 # Parts that the candidates of a language are ranked in before they meet.
 PARTS = 64
 # Bytes of chunks whose phrases are counted together in a task.
-AT_ONCE = 6 << 20
+AT_ONCE = 12 << 20
 # Bits per frequent phrase, and at most, of the bitmap that tasks get.
 BITS_EACH = 16
 MOST_BITS = 1 << 27
@@ -173,12 +174,6 @@ def frequent_filter(frequent: DataFrame) -> Filter:
     return Filter(bitmap)
 
 
-class _Numbers(dict):
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self)
-        return number
-
-
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """Batches put together until they hold ``AT_ONCE`` bytes."""
     held, size = [], 0
@@ -196,13 +191,10 @@ class _Block:
     """The tokens of some chunks as numbers, with what each token needs to know of its chunk."""
 
     def __init__(self, block: pa.Table):
-        chunks = [chunk.split(b" ") for chunk in block["chunk"].to_pylist()]
-        sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
-        numbers = _Numbers()
-        self.ids = np.fromiter(
-            (numbers[w] for chunk in chunks for w in chunk), np.int32, int(sizes.sum())
-        )
-        del chunks
+        chunks = pc.split_pattern(block["chunk"].combine_chunks(), b" ")
+        sizes = chunks.value_lengths().to_numpy().astype(np.int64)
+        found = chunks.flatten().dictionary_encode()
+        self.ids, self.words = found.indices.to_numpy(), found.dictionary
         self.place = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
         self.ends = np.cumsum(sizes).astype(np.int32)
         self.own_ends = self.ends - sizes.astype(np.int32) + block["own"].to_numpy()
@@ -210,14 +202,21 @@ class _Block:
         encoded = block["lang"].combine_chunks().dictionary_encode()
         self.lang_names = encoded.dictionary.to_pylist()
         self.langs = encoded.indices.to_numpy().astype(np.int64)
-        self.words = list(numbers)
-        self.is_break = self.ids == numbers.get(_BREAK, -1)
+        self.is_break = self.ids == self.words.index(pa.scalar(_BREAK, pa.binary())).as_py()
+
+    @cached_property
+    def hashes(self) -> np.ndarray:
+        return _hashes(self.words.to_pylist())
+
+    def named(self, chunks: np.ndarray) -> pa.Array:
+        """The languages of chunks."""
+        names = pa.array(self.lang_names, pa.string())
+        return names.take(pa.array(self.langs[chunks]))
 
     def passes(self, known: Filter, starts: np.ndarray, length: int) -> np.ndarray:
         """Whether the phrases of ``length`` words at ``starts`` may be frequent."""
-        hashes = _hashes(self.words)
         seeds = _hashes(x.encode() for x in self.lang_names)
-        columns = [hashes[self.ids[starts + k]] for k in range(length)]
+        columns = [self.hashes[self.ids[starts + k]] for k in range(length)]
         return known(_phrase_hash(seeds[self.langs[self.place[starts]]], columns))
 
     def phrases(self, length: int, known: Filter | None) -> pa.RecordBatch | None:
@@ -231,26 +230,21 @@ class _Block:
                 starts = starts[self.passes(known, starts + shift, length - 1)]
         if not len(starts):
             return None
-        key = self.langs[self.place[starts]]
+        key, most = self.langs[self.place[starts]], len(self.lang_names)
         for k in range(length):
-            if k > 1:
-                key = np.unique(key, return_inverse=True)[1].astype(np.int64)
+            most *= len(self.words)
+            if most >= 1 << 63:
+                kept, key = np.unique(key, return_inverse=True)
+                most = len(kept) * len(self.words)
             key = key * len(self.words) + self.ids[starts + k]
         order = np.argsort(key)
         first = np.flatnonzero(np.diff(key[order], prepend=-1))
         counts = np.add.reduceat(self.weights[self.place[starts[order]]], first)
         chosen = starts[order[first]]
-        words = self.words
-        found = [
-            b" ".join([words[i] for i in row])
-            for row in np.stack([self.ids[chosen + k] for k in range(length)], axis=1).tolist()
-        ]
-        langs = pa.DictionaryArray.from_arrays(
-            pa.array(self.langs[self.place[chosen]].astype(np.int32)), pa.array(self.lang_names, pa.string())
-        )
+        found = [self.words.take(pa.array(self.ids[chosen + k])) for k in range(length)]
+        phrases = pc.binary_join_element_wise(*found, b" ").cast(pa.string())
         return pa.RecordBatch.from_arrays(
-            [langs.cast(pa.string()), pa.array(found, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())],
-            schema=_COUNT,
+            [self.named(self.place[chosen]), phrases, pa.array(counts, pa.int64())], schema=_COUNT
         )
 
     def stretches(self, known: Filter) -> pa.RecordBatch | None:
@@ -265,14 +259,16 @@ class _Block:
         own = np.minimum(ends, self.own_ends[self.place[begins]]) - begins
         useful = (ends - begins > 1) & (own > 0)
         begins, ends, own = begins[useful], ends[useful], own[useful]
-        words, ids = self.words, self.ids.tolist()
-        chunks = self.place[begins]
-        seen: Counter = Counter()
-        for lang, begin, end, owned, n in zip(
-            self.langs[chunks].tolist(), begins.tolist(), ends.tolist(), own.tolist(), self.weights[chunks].tolist()
-        ):
-            seen[self.lang_names[lang], b" ".join([words[i] for i in ids[begin:end]]), owned] += n
-        return _chunk_batch(seen) if seen else None
+        if not len(begins):
+            return None
+        chunks, sizes = self.place[begins], ends - begins
+        edges = np.concatenate([[0], np.cumsum(sizes)])
+        inside = np.arange(edges[-1]) + np.repeat(begins - edges[:-1], sizes)
+        found = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), self.words.take(pa.array(self.ids[inside])))
+        columns = [self.named(chunks), pc.binary_join(found, b" "), pa.array(own, pa.int32()), pa.array(self.weights[chunks])]
+        folded = pa.table(columns, schema=_CHUNK).group_by(_CHUNK.names[:3], use_threads=False).aggregate([("n", "sum")])
+        folded = folded.rename_columns({"n_sum": "n"}).select(_CHUNK.names).combine_chunks()
+        return folded.to_batches()[0]
 
 
 def _each_block(batches: Iterator[pa.RecordBatch], make) -> Iterator[pa.RecordBatch]:

@@ -11,6 +11,7 @@ from zlib import crc32
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -247,6 +248,21 @@ def test_collocations(spark, monkeypatch, trigger, at_once):
         assert sorted(duck.sql(SQL["op13_collocations"]).fetchall(), key=repr) == expected
 
 
+def test_blocks_hold_arrow_arrays_and_keep_phrases_apart():
+    words = [b"w%d" % i for i in range(60_000)]  # four of them, numbered, need more than 63 bits
+    chunk = b" ".join(words)
+    columns = [["a", "b", "b"], [chunk, chunk, chunk], [len(words)] * 3, [1, 2, 3]]
+    block = collocations._Block(pa.table([pa.array(c, f.type) for c, f in zip(columns, collocations._CHUNK)], schema=collocations._CHUNK))
+    assert isinstance(block.words, pa.Array)
+    found = block.phrases(4, None)
+    assert found.num_rows == len(set(zip(*found.to_pydict().values()))) == 2 * (len(words) - 3)
+    assert set(zip(found["lang"].to_pylist(), found["n"].to_pylist())) == {("a", 1), ("b", 5)}
+    every = collocations.Filter(np.full(1, ~np.uint64(0)))
+    assert block.stretches(every).to_pylist() == [
+        {"lang": lang, "chunk": chunk, "own": len(words), "n": n} for lang, n in (("a", 1), ("b", 5))
+    ]
+
+
 def test_collocations_of_no_documents(spark):
     assert collocations.collocations(tricky.empty(spark)).count() == 0
 
