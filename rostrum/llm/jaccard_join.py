@@ -19,7 +19,9 @@ them. So sets meet under the hashes of their segments:
 Most pairs that meet are not similar. Each set has a sketch of ``SKETCH`` longs, the
 parities of its elements by hash: two sets differ in at least as many elements as
 their sketches do in bits, so pairs beyond the differences allowed go before any
-text is shipped. Every other pair is verified on the whole sets.
+text is shipped. Large sets, of which so few bits tell little, have a second sketch
+as wide as the set. Every other pair is verified on the whole sets; only texts of
+such pairs are shuffled, told from the others by a bounded bitmap of documents.
 """
 
 from __future__ import annotations
@@ -40,6 +42,7 @@ NEIGHBOURS_IN = 16  # one-deletion neighbourhoods are indexed in so many segment
 MEMBERS_PER_CHUNK = 256  # documents verified against one copy of their centre
 CHUNK_BYTES = 1 << 20  # texts hashed at once
 SKETCH = 8  # longs of a sketch
+MARKS = 1 << 17  # rows of 64 bits that tell which documents may be wanted
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0x5851F42D4C957F2D
@@ -239,9 +242,10 @@ def _chunks(texts: list[str]):
 
 
 _ENTRIES = pa.schema(
-    [("key", pa.int64()), ("doc_id", pa.int64()), ("tag", pa.int64()), ("sketch", pa.list_(pa.int64()))]
+    [("key", pa.int64()), ("doc_id", pa.int64()), ("tag", pa.int64())]
+    + [(name, pa.list_(pa.int64())) for name in ("sketch", "wide")]
 )
-_ENTRIES_DDL = "key bigint, doc_id bigint, tag bigint, sketch array<bigint>"
+_ENTRIES_DDL = "key bigint, doc_id bigint, tag bigint, sketch array<bigint>, wide array<bigint>"
 _ALONE = np.uint64(0x1234567)
 
 
@@ -253,9 +257,18 @@ def sketches(owner: np.ndarray, element: np.ndarray, n: int) -> np.ndarray:
     return out.view(np.int64)
 
 
+def wide_sketch(elements: np.ndarray) -> np.ndarray | None:
+    """A sketch with as many bits as a large set has elements, at least; the longs are a power of two."""
+    if len(elements) <= 64 * SKETCH:
+        return None
+    longs = 1 << (-(-len(elements) // 64) - 1).bit_length()
+    odd = np.bincount((elements & np.uint64(64 * longs - 1)).astype(np.int64), minlength=64 * longs) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view("<i8")
+
+
 def _entries(batches, words: int, percent: int):
     """Index entries; ``tag`` is 1 for a probe, and for the one entry that stands for
-    the document itself (under the hash of its whole set, with its sketch) -1 - size."""
+    the document itself (under the hash of its whole set, with its sketches) -1 - size."""
     seen: set[int] = set()
     for batch in batches:
         ids = batch.column(0)
@@ -269,6 +282,7 @@ def _entries(batches, words: int, percent: int):
             whole = mix(_sum_by(owner, mix(element * _ODD), n) ^ (counts.astype(np.uint64) * _ODD))
             alone = ~ok | (counts == 0)
             whole[alone] = mix((doc[alone].astype(np.uint64) + np.arange(n, dtype=np.uint64)[alone] * _ODD) ^ _ALONE)
+            sets = np.split(element, np.cumsum(counts)[:-1])
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(whole.view(np.int64)),
@@ -277,6 +291,7 @@ def _entries(batches, words: int, percent: int):
                     pa.ListArray.from_arrays(
                         pa.array(np.arange(n + 1, dtype=np.int32) * SKETCH), pa.array(sketches(owner, element, n))
                     ),
+                    pa.array([wide_sketch(x) for x in sets], _ENTRIES.field("wide").type),
                 ],
                 schema=_ENTRIES,
             )
@@ -287,14 +302,13 @@ def _entries(batches, words: int, percent: int):
                     seen.add(h)
                     new.append(i)
             if new:
-                sets = np.split(element, np.cumsum(counts)[:-1])
                 of_set, key, probe = index_entries([sets[i] for i in new], percent)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(key.view(np.int64)),
                         pa.array(doc[new][of_set]),
                         pa.array(probe.astype(np.int64)),
-                        pa.nulls(len(key), _ENTRIES.field("sketch").type),
+                        *(pa.nulls(len(key), _ENTRIES.field(name).type) for name in ("sketch", "wide")),
                     ],
                     schema=_ENTRIES,
                 )
@@ -361,6 +375,25 @@ def _differences(batches, words: int):
         yield pa.RecordBatch.from_pydict(out, schema=_ELEMENTS)
 
 
+def _mark(doc_id: str) -> tuple[Column, Column]:
+    """Slot and bit of a document among the marks."""
+    h = F.xxhash64(doc_id)
+    return F.pmod(h, F.lit(MARKS)), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(63)).cast("int")
+
+
+def _maybe(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The ``rows`` of the documents ``_doc`` of ``wanted``, and few others, without a shuffle of texts.
+
+    At most ``MARKS`` marks reach a task; of more documents they let more rows through.
+    """
+    slot, bit = _mark("_doc")
+    marks = wanted.select(slot.alias("_slot"), F.call_function("shiftleft", F.lit(1).cast("bigint"), bit).alias("_bit"))
+    marks = marks.groupBy("_slot").agg(F.bit_or("_bit").alias("_bits"))
+    slot, bit = _mark("doc_id")
+    marked = F.call_function("shiftrightunsigned", F.col("_bits"), bit).bitwiseAND(F.lit(1)) == 1
+    return rows.join(F.broadcast(marks), (slot == F.col("_slot")) & marked, "left_semi")
+
+
 def _shipped(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     """Texts of pairs ``(a, b)``, sorted so that a centre ``a`` comes before its members; ``b`` may be null.
 
@@ -380,7 +413,7 @@ def _shipped(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     )
     wanted = members.unionByName(centres)
     return (
-        wanted.join(rows, wanted["_doc"] == rows["doc_id"])
+        wanted.join(_maybe(rows, wanted), F.col("_doc") == F.col("doc_id"))
         .select("a", "chunk", "member", "text")
         .repartition("a", "chunk")
         .sortWithinPartitions("a", "chunk", F.col("member").asc_nulls_first())
@@ -420,10 +453,30 @@ def _may_link(percent: int) -> Column:
     differ = sum(
         F.bit_count(F.get("sketch_a", F.lit(i)).bitwiseXOR(F.get("sketch_b", F.lit(i)))) for i in range(SKETCH)
     )
+    return _allowed(differ, percent)
+
+
+def _allowed(differ: Column, percent: int) -> Column:
     allowed = (100 - percent) * (F.col("size_a") + F.col("size_b"))
     return F.coalesce((100 + percent) * differ <= allowed, F.lit(True))
 
 
+def _may_link_wide(percent: int) -> Column:
+    """The same by wide sketches, of which one twice as long is folded; other lengths rule nothing out."""
+
+    def folded(one: str, other: str) -> Column:
+        half = (F.size(one) / 2).cast("int")
+        halves = F.zip_with(F.slice(one, F.lit(1), half), F.slice(one, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(one) > F.size(other), halves).otherwise(F.col(one))
+
+    apart = F.zip_with(
+        folded("wide_a", "wide_b"), folded("wide_b", "wide_a"), lambda x, y: F.bit_count(x.bitwiseXOR(y))
+    )
+    differ = F.aggregate(apart, F.lit(0), lambda so_far, n: so_far + n)
+    either = F.col("wide_a").isNotNull() & F.col("wide_b").isNotNull()
+    return F.when(either, _allowed(differ, percent)).otherwise(True)
+
+
 def _of_both(pairs: DataFrame, about: DataFrame) -> DataFrame:
     """The pairs ``(a, b)`` with the columns of ``about``, named for each end."""
     for end in ("a", "b"):
@@ -484,14 +537,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     several = (F.col("first") < F.col("last")) & ((F.col("probed") == 1) | (F.col("whole") < -1))
     met = keep(
         met.where((F.col("tag") < 0) | several)
-        .select("key", "doc_id", "tag", "sketch", F.when(several, F.col("first")).alias("first"))
+        .select("key", "doc_id", "tag", "sketch", "wide", F.when(several, F.col("first")).alias("first"))
     )
     whole = met.where("tag < 0")
     equal = keep(whole.where("first < doc_id").groupBy(F.col("doc_id").alias("a")).agg(F.min("first").alias("b")))
 
     # From here on the first of equal documents stands for them all.
     index = met.where("tag >= 0")
-    index = (
+    index = keep(
         index.join(equal, index["doc_id"] == equal["a"], "left")
         .groupBy("key", F.coalesce("b", "doc_id").alias("doc_id"))
         .agg(F.max("tag").alias("probes"))
@@ -500,24 +553,32 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     met_under = index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     meets = index.join(met_under, "key").groupBy("doc_id").agg(F.sum("n").alias("meets"))
     # A document of several texts has no one sketch.
-    sketch = F.when(F.count(F.lit(1)) == 1, F.first("sketch")).alias("sketch")
-    size = whole.groupBy("doc_id").agg(F.max(-1 - F.col("tag")).alias("size"), sketch)
+    sketch = (F.when(F.count(F.lit(1)) == 1, F.first(c)).alias(c) for c in ("sketch", "wide"))
+    size = whole.groupBy("doc_id").agg(F.max(-1 - F.col("tag")).alias("size"), *sketch)
     about = keep(meets.join(size, "doc_id"))
     sketched = about.select("doc_id", "size", "sketch")
-    index = keep(index.join(about.drop("sketch"), "doc_id").join(met_under, "key", "left_semi"))
-    held = keep(rows.join(about, "doc_id", "left_semi"))
+    wide = about.select("doc_id", "wide").where("wide is not null")
+    index = keep(index.join(about.drop("sketch", "wide"), "doc_id").join(met_under, "key", "left_semi"))
 
     open_ = keep(_still_open(index, equal.select(F.col("a").alias("node"), F.col("b").alias("root"))))
-    star = (
-        open_.withColumn("_most", F.max(F.struct("meets", "doc_id")).over(under))
+    # Each document tries one centre: of its keys' centres that may be similar to it the one that meets most.
+    centres = (
+        open_.withColumn("_most", F.max(F.struct("meets", "doc_id", "size")).over(under))
         .where("_most.doc_id <> doc_id")
-        .groupBy(F.col("doc_id").alias("a"))
-        .agg(F.max("_most").alias("_most"))
-        .select("a", F.col("_most.doc_id").alias("b"))
+        .where(100 * F.least("size", "_most.size") >= percent * F.greatest("size", "_most.size"))
+        .groupBy(F.col("doc_id").alias("a"), F.col("_most.doc_id").alias("b"))
+        .agg(F.max("_most.meets").alias("meets"))
+    )
+    centres = keep(_of_both(centres, sketched).where(_may_link(percent)).select("a", "b", "meets", "size_a", "size_b"))
+    star = (
+        _of_both(centres, wide)
+        .where(_may_link_wide(percent))
+        .groupBy("a")
+        .agg(F.max(F.struct("meets", "b")).alias("_most"))
+        .select("a", F.col("_most.b").alias("b"))
     )
     tried = keep(_ordered(star))
-    likely = keep(_of_both(tried, sketched).where(_may_link(percent)).select("a", "b"))
-    links = keep(equal.union(_linked(_by_centre(likely), held, words, percent)))
+    links = keep(equal.union(_linked(_by_centre(tried), rows, words, percent)))
 
     # What is not connected now is settled pair by pair, but for pairs that cannot
     # be similar: their sketches differ too much, or elements of their own leave
@@ -535,8 +596,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     )
     across = _ordered(left.join(right, possible).select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")))
     across = keep(across.join(tried, ["a", "b"], "left_anti"))
+    across = _of_both(_of_both(across, sketched.select("doc_id", "size")), wide)
+    across = keep(across.where(_may_link_wide(percent)).select("a", "b"))
     open_docs = keep(across.select(F.col("a").alias("doc_id")).union(across.select("b")).distinct())
-    bounds = keep(_bounds(open_docs, likely, held, words).withColumnRenamed("owner", "doc_id"))
+    bounds = keep(_bounds(open_docs, tried, rows, words).withColumnRenamed("owner", "doc_id"))
     across = _of_both(_of_both(across, sketched.select("doc_id", "size")), bounds)
 
     def own(side: str) -> Column:
@@ -563,7 +626,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         )
     )
     across = keep(across.select("a", "b"))
-    reached = components(keep(links.union(_linked(across, held, words, percent))))
+    reached = components(keep(links.union(_linked(across, rows, words, percent))))
     return whole.join(reached, whole["doc_id"] == reached["node"], "left").select(
         "doc_id", (-1 - F.col("tag")).alias("n_shingles"), F.coalesce("root", "doc_id").alias("component_id")
     )

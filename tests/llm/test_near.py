@@ -128,3 +128,42 @@ def test_one_of_each_keeps_all_columns(spark):
     assert found.columns == docs.columns
     kept = {r.doc_id for r in found.collect()}
     assert None in kept and 12 in kept and 13 not in kept and 14 not in kept and 18 not in kept
+
+
+def test_large_documents_that_share_a_part_are_not_compared(spark, monkeypatch):
+    compared, linked = [], join._linked
+    monkeypatch.setattr(join, "_linked", lambda pairs, *rest: compared.extend(pairs.collect()) or linked(pairs, *rest))
+    part, rows = [f"p{i}" for i in range(700)], []
+    for family in range(8):
+        for copy in range(3):
+            own = [f"f{family}x{i}" for i in range(900)]
+            own[100 * copy] = "edited"
+            rows.append((len(rows), " ".join(part + own)))
+    check(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), rows, 5, 80)
+    assert compared and all(a // 3 == b // 3 for a, b in compared)
+
+
+def test_near_copies_whose_wide_sketches_differ_in_length(spark):
+    base = [f"w{i}" for i in range(1040)]
+    rows = [(1, " ".join(base)), (2, " ".join(base[60:])), (3, " ".join(f"o{i}" for i in range(1000))), (4, " ".join(base[:480]))]
+    lengths = [len(join.wide_sketch(join.shingle_sets([t.encode()], 5)[0])) for _, t in rows[:2]]
+    assert lengths == [32, 16]
+    check(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), rows, 5, 80)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(513, 3000), st.integers(0, 400), st.integers(0, 10**6))
+def test_wide_sketches_folded_differ_in_no_more_bits_than_sets_in_elements(size, fewer, seed):
+    a = np.unique(np.random.default_rng(seed).integers(0, 2**63, size + fewer, dtype=np.uint64))
+    b = a[fewer:]
+    x, y = join.wide_sketch(a), join.wide_sketch(b)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    assert sum(int(n).bit_count() for n in (x ^ y).view(np.uint64)) <= fewer
+
+
+def test_only_texts_that_may_be_wanted_are_shuffled(spark):
+    rows = spark.createDataFrame([(i, "t") for i in range(-500, 500)] + [(None, "t"), (7, "again")], "doc_id bigint, text string")
+    wanted = spark.createDataFrame([(i,) for i in (-500, -1, 7, 7, 499)], "_doc bigint")
+    found = [row["doc_id"] for row in join._maybe(rows, wanted).collect()]
+    assert {-500, -1, 7, 499} <= set(found) and found.count(7) == 2 and len(found) < 20
