@@ -18,16 +18,17 @@ from pyspark.sql import functions as F
 from rostrum.functions.coerce import strip
 from rostrum.operators.attribution import attribute_by_interval
 from rostrum.operators.latest import latest_per_key
+from rostrum.operators.repeats import hash_of, repeated_hashes
 from rostrum.plans.intermediate import ballots_of_files
 from rostrum.plans.registry import Models, table
-from rostrum.plans.staging import speaker
+from rostrum.plans.staging import sittings, speaker
 
 
 def _or_zero(*names: str) -> list[Column]:
     return [F.coalesce(F.col(n), F.lit(0)).alias(n) for n in names]
 
 
-# What marts count speeches by; rows of one speech that agree in all of it are one row.
+# What marts count speeches by.
 _TRAITS = ("depute_uid", "date_seance", "legislature", "compte_rendu_uid")
 
 
@@ -39,26 +40,57 @@ def _one_row(df: DataFrame, key: str, traits: Sequence[str], agree: str) -> Data
     return df.groupBy(key).agg(least, greatest).select(key, "least.*", same.alias(agree))
 
 
-def _dated_speeches(m: Models) -> DataFrame:
-    """One row per ``intervention_id`` with its traits.
-
-    ``alone`` tells that all rows of the id agree in them; where they do not,
-    the traits are those of one row and :func:`_several` has the others.
-    """
-    speeches = m.shared(
-        "dated_speeches",
-        lambda m: _one_row(
-            speaker(m.raw("interventions")), "intervention_id", ("depute_uid", "compte_rendu_uid"), "same"
-        ),
-    )
-    sittings = m.few(
+def _days_of_sittings(m: Models) -> DataFrame:
+    return m.few(
         "days of sittings",
         lambda m: _one_row(
             m["stg_comptes_rendus"], "compte_rendu_uid", ("date_seance", "legislature"), "once"
         ),
     )
-    alone = F.col("same") & F.coalesce("once", F.lit(True))
-    return speeches.join(sittings, "compte_rendu_uid", "left").withColumn("alone", alone)
+
+
+def _fold_speeches(m: Models) -> DataFrame:
+    """Speeches folded by speaker and sitting.
+
+    ``alone`` rows hold the number of ids that have one speaker and one sitting
+    and whose sitting has one date and term. All other speeches are the rows
+    that are not, one for each distinct id, speaker and sitting. Ids are told
+    apart by their hashes; only those that come twice are compared.
+    """
+    keys = ("depute_uid", "compte_rendu_uid")
+    speeches = speaker(m.raw("interventions")).select(
+        "intervention_id", *keys, hash_of("intervention_id")
+    )
+    repeated = m.few("repeated speeches", lambda m: repeated_hashes(speeches))
+    again = speeches.join(repeated, "_hash", "left_semi").drop("_hash")
+    folded = _one_row(again, "intervention_id", keys, "same")
+    ids = folded.where("not same").select(F.col("intervention_id").alias("_id"))
+    differing = again.join(ids, F.col("intervention_id").eqNullSafe(F.col("_id")), "left_semi").distinct()
+    agreed = (
+        speeches.join(repeated, "_hash", "left_anti")
+        .drop("_hash")
+        .unionByName(folded.where("same").drop("same"))
+    )
+    unsure = _days_of_sittings(m).where("not once").select("compte_rendu_uid")
+    alone = (
+        agreed.join(unsure, "compte_rendu_uid", "left_anti")
+        .groupBy(*keys)
+        .agg(F.count("intervention_id").alias("speeches"))
+    )
+    others = agreed.join(unsure, "compte_rendu_uid", "left_semi").unionByName(differing)
+    return alone.withColumn("alone", F.lit(True)).unionByName(
+        others.withColumn("alone", F.lit(False)), allowMissingColumns=True
+    )
+
+
+def _dated_speeches(m: Models) -> DataFrame:
+    return m.shared("dated_speeches", _fold_speeches)
+
+
+def _alone(m: Models) -> DataFrame:
+    """Speeches that are alone, one row per speaker and sitting, with their number and traits."""
+    speeches = _dated_speeches(m).where("alone")
+    return speeches.join(_days_of_sittings(m), "compte_rendu_uid", "left").select(*_TRAITS, "speeches")
 
 
 def _folded(m: Models, *keys: str) -> DataFrame:
@@ -67,11 +99,10 @@ def _folded(m: Models, *keys: str) -> DataFrame:
     Ids are all different here, so no id has to move for a distinct count.
     """
     return (
-        _dated_speeches(m)
-        .where("alone")
+        _alone(m)
         .groupBy(*keys)
         .agg(
-            F.count("intervention_id").alias("speeches"),
+            F.sum("speeches").alias("speeches"),
             F.min("date_seance").alias("first_day"),
             F.max("date_seance").alias("last_day"),
         )
@@ -79,12 +110,11 @@ def _folded(m: Models, *keys: str) -> DataFrame:
 
 
 def _several(m: Models) -> DataFrame:
-    """The distinct ``(intervention_id, *traits)`` of ids whose rows do not agree."""
-    ids = _dated_speeches(m).where("not alone").select(F.col("intervention_id").alias("_id"))
-    if m.keeps:  # else counting would compute the shared step once more
-        ids = m.few("ids of several rows", lambda m: ids)
-    rows = m["stg_interventions"].select("intervention_id", *_TRAITS)
-    return rows.join(ids, rows["intervention_id"].eqNullSafe(ids["_id"]), "left_semi").distinct()
+    """The distinct ``(intervention_id, *traits)`` of speeches that are not alone."""
+    rows = _dated_speeches(m).where("not alone").select("intervention_id", "depute_uid", "compte_rendu_uid")
+    return (
+        rows.join(sittings(m), "compte_rendu_uid", "left").select("intervention_id", *_TRAITS).distinct()
+    )
 
 
 def _speeches_per_person(m: Models) -> DataFrame:
@@ -244,7 +274,7 @@ def mart_interventions_time(m: Models) -> DataFrame:
     days = ("date_seance", "legislature")
     several = _several(m).where(F.col("date_seance").isNotNull())
     ids = several.groupBy(*days).agg(F.count_distinct("intervention_id").alias("speeches"))
-    alone = _folded(m, *_TRAITS).select(*_TRAITS, "speeches").where(F.col("date_seance").isNotNull())
+    alone = _alone(m).where(F.col("date_seance").isNotNull())
     traits = several.select(*_TRAITS, F.lit(0).cast("long").alias("speeches"))
     none = F.lit(None).cast("string")
     counted = ids.select(none.alias("depute_uid"), *days, none.alias("compte_rendu_uid"), "speeches")

@@ -82,12 +82,15 @@ def speaker(speeches: DataFrame) -> DataFrame:
     )
 
 
+def sittings(m: Models) -> DataFrame:
+    columns = ("compte_rendu_uid", "date_seance", "legislature", "type_assemblee", "session", "num_seance")
+    return m.few("sittings", lambda m: m["stg_comptes_rendus"].select(*columns))
+
+
 @view
 def stg_interventions(m: Models) -> DataFrame:
     """Speeches with the date and term of their sitting and the speaker as a person key."""
-    columns = ("compte_rendu_uid", "date_seance", "legislature", "type_assemblee", "session", "num_seance")
-    sittings = m.few("sittings", lambda m: m["stg_comptes_rendus"].select(*columns))
-    return speaker(m.raw("interventions")).join(sittings, "compte_rendu_uid", "left")
+    return speaker(m.raw("interventions")).join(sittings(m), "compte_rendu_uid", "left")
 
 
 @view
