@@ -177,18 +177,38 @@ def count_where(condition: Column) -> Column:
     return F.count_if(F.coalesce(condition, F.lit(False)))
 
 
-@view
-def int_dossier_actes(m: Models) -> DataFrame:
-    """Acts are counted apart, so that only file and act move for the distinct count."""
+def _fold_acts(m: Models) -> DataFrame:
+    """Acts folded by file and by the ballot they refer to; one row more per file counts its acts.
+
+    Acts are counted apart, so that only file and act move for the distinct count.
+    """
     acts = m["stg_dossier_actes_legislatifs"].where(F.col("dossier_uid").isNotNull())
-    counts = acts.groupBy("dossier_uid").agg(F.count_distinct("acte_uid").alias("nombre_actes_total"))
-    described = acts.groupBy("dossier_uid").agg(
-        F.min("date_acte").alias("date_premier_acte"),
-        F.max("date_acte").alias("date_dernier_acte"),
-        (count_where(F.col("acte_code").startswith("PROM")) > 0).alias("est_adopte"),
+    described = acts.groupBy("dossier_uid", F.col("vote_ref").alias("scrutin_uid")).agg(
+        F.count(F.lit(1)).alias("actes"),
+        F.min("date_acte").alias("premier"),
+        F.max("date_acte").alias("dernier"),
+        count_where(F.col("acte_code").startswith("PROM")).alias("promulgations"),
     )
-    return described.join(counts, "dossier_uid").select(
-        *("dossier_uid", "date_premier_acte", "date_dernier_acte", "nombre_actes_total", "est_adopte")
+    counts = acts.groupBy("dossier_uid").agg(F.count_distinct("acte_uid").alias("uids"))
+    return described.unionByName(counts, allowMissingColumns=True)
+
+
+def acts_of_files(m: Models) -> DataFrame:
+    """As :func:`_fold_acts`, read by several models."""
+    return m.shared("acts_of_files", _fold_acts)
+
+
+@view
+def int_dossier_actes(m: Models) -> DataFrame:
+    return (
+        acts_of_files(m)
+        .groupBy("dossier_uid")
+        .agg(
+            F.min("premier").alias("date_premier_acte"),
+            F.max("dernier").alias("date_dernier_acte"),
+            F.sum("uids").alias("nombre_actes_total"),
+            (F.sum("promulgations") > 0).alias("est_adopte"),
+        )
     )
 
 
@@ -209,10 +229,7 @@ def ballots_of_files(m: Models) -> DataFrame:
     per act. Carrying that number as a weight keeps the following joins small.
     """
     return (
-        m["stg_dossier_actes_legislatifs"]
-        .where(F.col("vote_ref").isNotNull() & F.col("dossier_uid").isNotNull())
-        .groupBy("dossier_uid", F.col("vote_ref").alias("scrutin_uid"))
-        .agg(F.count(F.lit(1)).alias("actes"))
+        acts_of_files(m).where(F.col("scrutin_uid").isNotNull()).select("dossier_uid", "scrutin_uid", "actes")
     )
 
 

@@ -121,10 +121,6 @@ def _speeches_per_person(m: Models) -> DataFrame:
     return m.shared("speeches_per_person", _count_speeches)
 
 
-def _acts_of_files(m: Models) -> DataFrame:
-    return m.shared("acts_of_files", lambda m: m["int_dossier_actes"])
-
-
 def _count_speeches(m: Models) -> DataFrame:
     several = (
         _several(m)
@@ -459,8 +455,7 @@ def mart_dossiers_enriched(m: Models) -> DataFrame:
     """Per file: its acts, documents, ballots and amendments in one row."""
     joined = m["stg_dossiers_parlementaires"].drop("nombre_actes_legislatifs")
     described = joined.columns
-    joined = joined.join(_acts_of_files(m), "dossier_uid", "left")
-    for summary in ("documents", "scrutins", "amendements"):
+    for summary in ("actes", "documents", "scrutins", "amendements"):
         joined = joined.join(m[f"int_dossier_{summary}"], "dossier_uid", "left")
     return joined.select(
         *described,
@@ -507,7 +502,7 @@ def mart_dossiers_votes_groupes(m: Models) -> DataFrame:
             weighted("abstentions").alias("volume_total_abstention"),
         )
     )
-    adopted = _acts_of_files(m).select("dossier_uid", "est_adopte")
+    adopted = m["int_dossier_actes"].select("dossier_uid", "est_adopte")
     files = m["stg_dossiers_parlementaires"].select("dossier_uid", "titre_dossier", "legislature")
     groups = m["stg_organes"].select(
         F.col("organe_uid").alias("groupe_organe_ref"),
@@ -532,25 +527,32 @@ def mart_dossiers_votes_groupes(m: Models) -> DataFrame:
 def mart_groupes_co_vote(m: Models) -> DataFrame:
     """Per pair of groups: ballots in which both had the same majority position.
 
-    Repeated rows of a group in a ballot are folded into a weight first, so the
-    self-join makes each pair of a ballot once, and every pair made is a row of
-    the result.
+    Repeated rows of a group in a ballot are folded into a weight first. The
+    groups of a position then make one list, equal lists are folded into a weight
+    too, and each pair of a list is made once, without a join.
     """
     stands = (
         m["int_scrutin_groupes_enriched"]
         .where(F.col("scrutin_uid").isNotNull() & F.col("position_majoritaire").isNotNull())
         .select("scrutin_uid", "position_majoritaire", "groupe_uid")
-        .repartition("scrutin_uid", "position_majoritaire")  # for the fold and the join
+        .repartition("scrutin_uid", "position_majoritaire")  # for the fold and the lists
         .groupBy("scrutin_uid", "position_majoritaire", "groupe_uid")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    first = stands.withColumnsRenamed({"groupe_uid": "groupe_uid_1", "n": "n1"})
-    second = stands.withColumnsRenamed({"groupe_uid": "groupe_uid_2", "n": "n2"})
+    lists = (
+        stands.groupBy("scrutin_uid", "position_majoritaire")
+        .agg(F.sort_array(F.collect_list(F.struct("groupe_uid", "n"))).alias("together"))
+        .groupBy("together")
+        .agg(F.count(F.lit(1)).alias("ballots"))
+    )
     return (
-        first.join(second, ["scrutin_uid", "position_majoritaire"])
-        .where(F.col("groupe_uid_1") < F.col("groupe_uid_2"))
-        .groupBy("groupe_uid_1", "groupe_uid_2")
-        .agg(F.sum(F.col("n1") * F.col("n2")).alias("nb_co_votes"))
+        lists.withColumn("first", F.explode("together"))
+        .withColumn("second", F.explode("together"))
+        .where(F.col("first.groupe_uid") < F.col("second.groupe_uid"))
+        .groupBy(
+            F.col("first.groupe_uid").alias("groupe_uid_1"), F.col("second.groupe_uid").alias("groupe_uid_2")
+        )
+        .agg(F.sum(F.col("first.n") * F.col("second.n") * F.col("ballots")).alias("nb_co_votes"))
         .select("nb_co_votes", "groupe_uid_1", "groupe_uid_2")
         .orderBy(F.desc("nb_co_votes"))
     )

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from checks import adapter
 from rostrum.ingest import INGEST
-from rostrum.operators import quality
+from rostrum.operators import joins, quality
 from rostrum.operators.attribution import attribute_by_interval
 from rostrum.pipeline import build_models, load_feed
 from rostrum.plans import MODELS, Models
@@ -263,3 +263,78 @@ def test_votes_move_once_for_fold_and_join(spark):
     """Before, they moved by ballot, group and assembly, and then once more by ballot."""
     plan = plan_of(adapter.models(spark, "/root/testdata/sf0.001")["mart_dossiers_votes_groupes"])
     assert not re.search(r"hashpartitioning\(scrutin_uid#\d+, groupe_organe_ref", plan)
+
+
+@pytest.mark.parametrize("kept", [False, True])
+def test_speeches_count_once_when_no_side_is_short(spark, tmp_path, monkeypatch, kept):
+    monkeypatch.setattr(joins, "_FEW_ROWS", 0)
+    test_speeches_of_many_rows_count_once(spark, tmp_path, kept)
+
+
+def test_ids_of_speeches_do_not_move(spark):
+    """Before, every id was shuffled with its speaker and sitting; now hashes are, to find those that come twice."""
+    speeches = [(f"I{n}", "CR1", "7") for n in range(10)]
+    m = raw_models(
+        spark,
+        interventions=(speeches, "intervention_id string, compte_rendu_uid string, orateur_id string"),
+        comptes_rendus=([("CR1", "2001-01-01")], "uid string, date_seance string"),
+    )
+    shared = {}
+    m.keeping(lambda name, df: shared.setdefault(name, df))["mart_interventions_time"].collect()
+    assert "hashpartitioning(intervention_id" not in plan_of(shared["dated_speeches"])
+
+
+def test_short_sides_are_not_computed_again(spark):
+    """Before, sittings and speakers were counted, and then computed once more by each mart that joins them."""
+    models = adapter.models(spark, "/root/testdata/sf0.001")
+    assert plan_of(models["mart_interventions_enriched"]).count("FileScan parquet") == 1
+    assert models.keeping(lambda name, df: df).few("speakers", None) is models.few("speakers", None)
+
+
+def test_acts_are_read_by_one_step(spark, tmp_path):
+    """Before, marts of files read all acts once more for the ballots they refer to."""
+    acts = [("DL1", "A1", None, "VT1"), ("DL1", "A1", "PROM-PUB", "VT1"), ("DL1", None, None, None), ("DL2", "A3", "X", "VT1")]
+    acts += [(None, "A4", "PROM", "VT1"), ("DL3", None, None, None)]
+    columns = "dossier_uid string, acte_uid string, acte_code string, vote_ref string"
+    spark.createDataFrame(acts, columns).write.parquet(f"{tmp_path}/acts")
+    votes = [("VT1", "PG1", "PO0", 3), ("VT1", "PG1", "PO0", 4)]
+    m = raw_models(
+        spark,
+        scrutin_groupes_votes=(votes, "scrutin_uid string, groupe_organe_ref string, organe_ref_assemblee string, pour long"),
+        dossiers_parlementaires=([("DL1",), ("DL2",), ("DL3",)], "uid string"),
+        organes=([("PG1", "GP", "A")], "uid string, code_type string, libelle string"),
+    )
+    m._raw["dossier_actes_legislatifs"] = spark.read.parquet(f"{tmp_path}/acts")
+    found = {tuple(r) for r in m["int_dossier_actes"].drop("date_premier_acte", "date_dernier_acte").collect()}
+    assert found == {("DL1", 1, True), ("DL2", 1, False), ("DL3", 0, False)}
+
+    def land(name, df):
+        df.write.parquet(f"{tmp_path}/{name}")
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    totals = m.keeping(land)["mart_dossiers_votes_groupes"]
+    assert not [path for path in totals.inputFiles() if f"{tmp_path}/acts/" in path]
+    rows = {(r.dossier_uid, r.total_scrutins_participes, r.volume_total_pour, r.est_adopte) for r in totals.collect()}
+    assert rows == {("DL1", 4, 14, True), ("DL2", 2, 7, False)}
+
+
+def test_pairs_of_groups_are_made_without_a_join(spark):
+    """Before, ballots were joined with themselves."""
+    rng = random.Random(3)
+    votes = [
+        (rng.choice([None, "V1", "V2", "V3"]), rng.choice([None, "PG1", "PG2", "PG3", "PG9"]), rng.choice([None, "pour", "contre"]))
+        for _ in range(300)
+    ]
+    m = raw_models(
+        spark,
+        scrutin_groupes_votes=(votes, "scrutin_uid string, groupe_organe_ref string, position_majoritaire string"),
+        organes=(
+            [("PG1", "GP", "A"), ("PG2", "GP", "B"), ("PG2", "GP", "C"), ("PG3", "GP", "D"), (None, "GP", "E")],
+            "uid string, code_type string, libelle string",
+        ),
+    )
+    rows = [v for v in votes if v[0] and v[2] for _ in range({"PG1": 1, "PG2": 2, "PG3": 1}.get(v[1], 0))]
+    pairs = [(a[1], b[1]) for a in rows for b in rows if (a[0], a[2]) == (b[0], b[2]) and a[1] < b[1]]
+    found = {(r.groupe_uid_1, r.groupe_uid_2): r.nb_co_votes for r in m["mart_groupes_co_vote"].collect()}
+    assert found == {pair: pairs.count(pair) for pair in set(pairs)}
+    assert len(re.findall(r"(?:HashJoin|SortMergeJoin) ", plan_of(m["mart_groupes_co_vote"]).split("Initial Plan")[0])) == 1
